@@ -26,9 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder, which outlives any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows as Parquet in the shared folder, which outlives any executor, and read them back.
+
+    The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    discard_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
 
 
 def fresh_dir(spark: SparkSession, what: str) -> str:

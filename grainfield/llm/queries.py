@@ -10,6 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, read back frame by frame."""
+    import public_tokenizers
+
+    from .tokenfiles import read_token_files, write_token_files
+
+    files = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(files)
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, tags and expressions of every document."""
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the bytes they decode to, as digests."""
     import public_tokenizers
@@ -20,7 +37,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op7_bpe": op7_bpe}
+    return {"op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
