@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source: weights 3, 1, 2 repeating, 150% of all words, twice a source's words at most."""
+    from .mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back frame by frame."""
     import public_tokenizers
@@ -37,7 +44,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe}
+    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
