@@ -43,9 +43,19 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and risk-controlled verdicts of every document."""
+    from .rules import apply_rules
+
+    judged = apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe}
+    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .rules import rules_sql
+
+    return {"op8_rules": rules_sql()}
