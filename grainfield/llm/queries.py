@@ -51,11 +51,19 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and survivors of all embeddings, by label, at a cosine of 0.93."""
+    from .vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules}
+    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import vectors
     from .rules import rules_sql
 
-    return {"op8_rules": rules_sql()}
+    return {"op8_rules": rules_sql(), "op10_near_vectors": vectors.SQL}
