@@ -17,6 +17,13 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from .html import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back frame by frame."""
     import public_tokenizers
@@ -59,7 +66,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
+    return {"op1_mix": op1_mix, "op3_main_text": op3_main_text, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
 
 
 def oracle_sql() -> dict[str, str]:
