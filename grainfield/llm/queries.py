@@ -6,6 +6,7 @@ Each query is a thin digest of an operator over its whole table. Queries import
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -17,6 +18,17 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learnt from the labels outside the fold 0 of 5."""
+    from .labelled import fold
+    from .toxicity import score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     from .html import extract_pages
@@ -24,6 +36,17 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learnt from the labels outside the fold 2 of 4."""
+    from .labelled import fold
+    from .quality import score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
+    held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), F.col("quality").alias("score"), (F.col("quality") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back frame by frame."""
     import public_tokenizers
@@ -66,7 +89,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op3_main_text": op3_main_text, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_main_text": op3_main_text, "op4_quality": op4_quality, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
 
 
 def oracle_sql() -> dict[str, str]:
