@@ -81,6 +81,13 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are 85% alike."""
+    from .ngramjoin import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, components and survivors of all embeddings, by label, at a cosine of 0.93."""
     from .vectors import near_duplicates
@@ -89,7 +96,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_main_text": op3_main_text, "op4_quality": op4_quality, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op10_near_vectors": op10_near_vectors}
+    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_main_text": op3_main_text, "op4_quality": op4_quality, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op9_ngram_join": op9_ngram_join, "op10_near_vectors": op10_near_vectors}
 
 
 def oracle_sql() -> dict[str, str]:
