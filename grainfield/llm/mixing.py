@@ -150,12 +150,13 @@ def mix_sources(
 ) -> DataFrame:
     """The mix of `docs(doc_id, text, source)` into 2^levels output shards.
 
-    A row for each row of docs: doc_id, size, source, source_size, target, passes (whole passes over the source), taken,
+    A row for each row of docs: doc_id, mark (a digest of source and text), size, source, source_size, target, passes (whole passes over the source), taken,
     and draws: an array of (shard, block, key, first_word, n_words) for the part of the document that the last, partial
     pass takes: block is the block of the source's stream, key its place in the shard's local shuffle. `taken` counts
     words, repeats included: passes * size plus those of the draws. Reruns with the same arguments give the same mix.
     """
-    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "source", F.xxhash64("text")).alias("h")))
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("source", "text").alias("mark")))
+    sized = sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "mark"))
     per = source_targets(sized, weights, share, most)
     size, target = F.col("source_size"), F.col("target")
     passes = F.when(size > 0, F.floor(target / size)).otherwise(0).cast("long")
@@ -166,7 +167,7 @@ def mix_sources(
     ends = splitting_tree(per.select("source", "quota"), levels, seed)
     per = cut(per.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
     of_source = lambda left: left.join(F.broadcast(per) if per.count() <= 100_000 else per, left["s"].eqNullSafe(per["source"]))
-    dealt = of_source(sized.withColumnRenamed("source", "s")).withColumn("bucket", F.pmod(F.col("h"), F.col("buckets"))).select("doc_id", "s", "size", "h", "bucket")
+    dealt = of_source(sized.withColumnRenamed("source", "s")).withColumn("bucket", F.pmod(F.col("h"), F.col("buckets"))).select("doc_id", "mark", "s", "size", "h", "bucket")
     dealt = cut(dealt)
     cells = dealt.groupBy("s", "bucket").agg(F.sum("size").alias("cell"))
     # A cell is thousands of documents; of its running sums, those of a source stay one task.
@@ -194,7 +195,7 @@ def mix_sources(
     blocks = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.sequence(F.floor(F.col("start") / b), F.floor((end - 1) / b)))
     full = full.withColumn("draws", F.coalesce(F.filter(F.transform(blocks, draw), lambda d: d["shard"].isNotNull() & (d["n_words"] > 0)), F.expr("cast(array() as array<struct<shard:int,block:bigint,key:bigint,first_word:bigint,n_words:bigint>>)")))
     taken = F.col("passes") * F.col("size") + F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["n_words"])
-    return full.select("doc_id", "size", "source", "source_size", "target", "passes", taken.alias("taken"), "draws")
+    return full.select("doc_id", "mark", "size", "source", "source_size", "target", "passes", taken.alias("taken"), "draws")
 
 
 def shards(mix: DataFrame, levels: int = 5, seed: int = 17) -> DataFrame:

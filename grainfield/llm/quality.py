@@ -6,7 +6,7 @@ weighted by inverse document frequency, are projected on the leading singular di
 sample's vectors, labels and projection have a fixed bound (`rows` x `rank`) and go out as a broadcast; every document's
 cosines with all of them are computed exactly, in blocks, and its nearest neighbours vote by their similarity.
 
-Cases: null and empty texts have the terms of length 0 and are scored like any; without labelled rows every score is 0.5; texts of
+Cases: null and empty texts have the terms of length 0 and are scored like any; without labelled rows nothing is known against any text and every score is 1; texts of
 any length are scored whole; equal texts get equal scores; ties among neighbours at the k-th place go by sample order.
 """
 
@@ -111,7 +111,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, usable: Column, rows: int
             for at in range(0, part.num_rows, 500):
                 some = part.slice(at, 500)
                 texts = [t or "" for t in some.column("text").to_pylist()]
-                scores = found.score(texts, memo, k) if found else np.full(len(texts), 0.5)
+                scores = found.score(texts, memo, k) if found else np.ones(len(texts))
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(scores)], [*some.schema.names, "quality"])
 
     return docs.mapInArrow(run, fields)

@@ -95,8 +95,16 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_main_text": op3_main_text, "op4_quality": op4_quality, "op5_token_files": op5_token_files, "op6_licenses": op6_licenses, "op7_bpe": op7_bpe, "op8_rules": op8_rules, "op9_ngram_join": op9_ngram_join, "op10_near_vectors": op10_near_vectors}
+    named = (op1_mix, op2_toxicity, op3_main_text, op4_quality, op5_token_files, op6_licenses, op7_bpe, op8_rules, op9_ngram_join, op10_near_vectors, pipeline)
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
