@@ -13,8 +13,10 @@ moved into place, so a task that runs again leaves the same file. Null and empty
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -111,17 +113,28 @@ class WordEncoder:
         self.limit, self.known = limit, {}
 
     def packed(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        missing = list({w for ws in words for w in ws if w not in self.known})
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        words = [t.lower().split() for t in texts]  # the tokenizer lower-cases anyway
+        known = self.known
+        if len(known) > self.limit:
+            known.clear()
+        missing = {w for ws in words for w in ws if w not in known}
+        # A comma or full stop after an ASCII letter is a piece of its own: such words are put together from two.
+        ended = [w for w in missing if len(w) > 1 and w[-1] in b",." and 97 <= w[-2] <= 122]
+        missing.difference_update(ended)
+        missing.update(w for e in ended for w in (e[:-1], e[-1:]) if w not in known)
+        todo, kind = list(missing), "H" if self.width == 2 else "I"
+        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        for at in range(0, len(todo), 20_000):
+            part = todo[at : at + 20_000]
             for word, found in zip(part, batch([w.decode("utf-8") for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype=f"<u{self.width}").tobytes()
+                ids = array(kind, found.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                known[word] = ids.tobytes()
+        for word in ended:
+            known[word] = known[word[:-1]] + known[word[-1:]]
         end = end_id.to_bytes(self.width, "little")
-        return [b"".join(map(self.known.__getitem__, ws)) + end for ws in words]
+        return [b"".join(map(known.__getitem__, ws)) + end for ws in words]
 
 
 def encoder(definition: str) -> WordEncoder:
