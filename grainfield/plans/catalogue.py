@@ -1,6 +1,147 @@
-"""Queries by name, and their DuckDB twins."""
+"""Queries by name, and their DuckDB twins: each plan is written once and rendered for either engine."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions import bank
+from ..functions import scalars as S
+from ..functions.dialect import Duck, Spark, query
+from ..operators import extract as E
+from ..operators import validate as V
+from . import fixtures as X
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def plan(build: Callable) -> Callable:
+    """Register a plan, a function of the dialect, as a Spark query and as its DuckDB twin."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.sql(build(Spark(sf_dir)))
+
+    QUERIES[build.__name__] = run
+    ORACLES[build.__name__] = build(Duck())
+    return build
+
+
+def rounded(*columns: str) -> str:
+    return ", ".join(f"round({c}, 6) as {c}" for c in columns)
+
+
+CONFS = rounded("dealer_conf", "model_conf", "hp_conf", "cost_conf")
+
+
+@plan
+def prepare_blocks(d):
+    return query(d, {**X.blocks(d), **E.prepared(d)}, f"select document_id, idx, cast(pos as bigint) as pos, original, text, {d.size('nums')} as n_nums, coalesce({d.get('nums', 0)}, -1e0) as first_num, has_currency, has_suffix, kw_dealer, kw_model, kw_specs, kw_financial, next_original from prepared")
+
+
+def _candidate_plan(field: str, name: str):
+    def build(d):
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,))}, "select document_id, seq, s, v, round(conf, 6) as conf, source from candidates")
+
+    build.__name__ = name
+    plan(build)
+
+    def top(d):
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,)), **E.best(d)}, "select document_id, s, v, round(conf, 6) as conf, source from best")
+
+    top.__name__ = name.replace("candidates", "top1")
+    plan(top)
+
+
+for _field, _name in (("horse_power", "hp_candidates"), ("asset_cost", "cost_candidates"), ("model_name", "model_candidates"), ("dealer_name", "dealer_candidates")):
+    _candidate_plan(_field, _name)
+
+
+@plan
+def extract_fields(d):
+    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, dealer_name, model_name, horse_power, asset_cost, {CONFS} from extracted")
+
+
+@plan
+def overall_confidence(d):
+    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, round({E.overall()}, 6) as overall_confidence from extracted")
+
+
+@plan
+def light_validation(d):
+    return query(d, {**X.blocks(d), **E.fields(d), **E.light_validation(d)}, f"select document_id, {rounded('hp_conf', 'cost_conf')}, round({E.overall()}, 6) as overall_confidence from light")
+
+
+@plan
+def section_blocks(d):
+    return query(d, {**X.blocks(d), **E.prepared(d)}, "select document_id, idx, original, pos between specs_at and specs_at + 5 as in_specs, pos between financial_at and financial_at + 7 as in_financial from prepared where pos between specs_at and specs_at + 5 or pos between financial_at and financial_at + 7")
+
+
+def _validated(d) -> dict[str, str]:
+    return {**X.blocks(d), **E.fields(d), **V.validated(d)}
+
+
+@plan
+def validate_fields(d):
+    issues = ", ".join(f"{f}_issues, {f}_boosts" for f in ("dealer", "model", "hp", "cost"))
+    return query(d, {**X.blocks(d), **E.fields(d), **V.validated(d)}, f"select document_id, {CONFS}, {issues} from ruled")
+
+
+@plan
+def cross_validate(d):
+    return query(d, _validated(d), f"select document_id, {CONFS}, hp_mismatch, round({E.overall()}, 6) as overall_confidence from crossed")
+
+
+@plan
+def model_hp_lookup(d):
+    return query(d, _validated(d), "select document_id, model_name, hp_low, hp_high from crossed")
+
+
+@plan
+def flagship_invoice_extraction(d):
+    """Power and cost of every invoice: candidates, best, rules, cross checks, band."""
+    overall = E.overall()
+    return query(
+        d, {**X.blocks(d), **E.fields(d), **V.validated(d)},
+        f"select document_id, horse_power as hp, round(hp_conf, 6) as hp_conf, asset_cost as cost, round(cost_conf, 6) as cost_conf, round({overall}, 6) as overall_confidence, "
+        f"case when {overall} >= 0.85e0 then 'high' when {overall} >= 0.65e0 then 'medium' else 'low' end as band from crossed",
+    )
+
+
+def _complete(d) -> dict[str, str]:
+    missing = d.join(d.keep(d.array(*(f"case when {f} is null then '{f}' end" for f in bank.FIELDS)), lambda v: f"{v} is not null"), ", ")
+    done = d.join(d.keep(d.array(*(f"case when {f} is not null then '{f}' end" for f in bank.FIELDS)), lambda v: f"{v} is not null"), ", ")
+    high = d.join(d.keep(d.array(*(f"case when {c} <> '' then concat('{f}: ', {c}) end" for f, c in zip(bank.FIELDS, ("dealer_high", "model_high", "hp_high_issues", "cost_high"), strict=True))), lambda v: f"{v} is not null"), ", ")
+    return {**_validated(d), **V.completeness(), "summed": f"select *, {missing} as missing_fields, {done} as complete_fields, n_complete / 4e0 as completeness_score, {E.overall()} as overall, {high} as high_severity from complete"}
+
+
+@plan
+def completeness(d):
+    return query(d, _complete(d), "select document_id, missing_fields, complete_fields, completeness_score, cast(n_complete as bigint) as total_complete from summed")
+
+
+@plan
+def validation_summary(d):
+    quality = "case when overall >= 0.85e0 and completeness_score >= 0.8e0 then 'high' when overall >= 0.65e0 and completeness_score >= 0.6e0 then 'medium' else 'low' end"
+    advice = d.array(
+        "case when completeness_score < 1 then concat('Missing required fields: ', missing_fields) end", "case when overall < 0.75e0 then 'Review low-confidence fields manually' end",
+        "case when high_severity <> '' then concat('Critical validation failures: ', high_severity) end", "case when overall < 0.50e0 then 'Consider re-scanning or manual data entry' end",
+    )
+    there = [f"case when {f} is not null then {c}_conf end" for f, c in E.SHORT.items()]
+    mean = f"({' + '.join(f'coalesce({t}, 0e0)' for t in there)}) / n_complete"
+    return query(
+        d, _complete(d),
+        f"select document_id, round(overall, 6) as overall_confidence, {quality} as quality_level, high_severity, {d.join(d.keep(advice, lambda v: f'{v} is not null'), ' | ')} as recommendations, cast(n_complete as bigint) as fields_validated, "
+        f"round(coalesce(least({', '.join(there)}), 0e0), 6) as min_confidence, round(coalesce(greatest({', '.join(there)}), 0e0), 6) as max_confidence, round(case when n_complete = 0 then 0e0 else {mean} end, 6) as avg_confidence, "
+        f"({quality}) = 'high' and high_severity = '' as document_ready from summed",
+    )
+
+
+@plan
+def validation_stats(d):
+    return query(
+        d, _complete(d),
+        f"select cast(count(*) as bigint) as total, {d.count_if('overall >= 0.75e0')} as passed, round({d.count_if('overall >= 0.75e0')} / cast(count(*) as double), 6) as pass_rate, "
+        + ", ".join(f"{d.count_if(f'''{c} <> {chr(39)}{chr(39)}''')} as {f}_high" for f, c in zip(("dealer", "model", "hp", "cost"), ("dealer_high", "model_high", "hp_high_issues", "cost_high"), strict=True)) + " from summed",
+    )
