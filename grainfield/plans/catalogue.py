@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import bank
+from ..functions import fuzzy as F_
 from ..functions import scalars as S
 from ..functions.dialect import Duck, Spark, query
 from ..operators import extract as E
+from ..operators import detect as D
+from ..operators import evaluate as A
+from ..operators import lines as L
 from ..operators import validate as V
+from ..operators import vlm as M
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +150,363 @@ def validation_stats(d):
         f"select cast(count(*) as bigint) as total, {d.count_if('overall >= 0.75e0')} as passed, round({d.count_if('overall >= 0.75e0')} / cast(count(*) as double), 6) as pass_rate, "
         + ", ".join(f"{d.count_if(f'''{c} <> {chr(39)}{chr(39)}''')} as {f}_high" for f, c in zip(("dealer", "model", "hp", "cost"), ("dealer_high", "model_high", "hp_high_issues", "cost_high"), strict=True)) + " from summed",
     )
+
+
+def _scalar(name: str, source: Callable, columns: Callable, keys: str, table: str):
+    def build(d):
+        return query(d, source(d), f"select {keys}, {columns(d)} from {table}")
+
+    build.__name__ = name
+    plan(build)
+
+
+def _lines(d) -> dict[str, str]:
+    """Lines of documents, with the literal rows that the documents lack."""
+    return {**X.text_blocks(d), **X.literals(d), "texts": "select doc_id, cast(idx as bigint) as idx, line as text from text_blocks union all select cast(-1 as bigint), cast(id as bigint), text from literals"}
+
+
+_scalar("normalize_text", _lines, lambda d: f"{S.normalize_text(d, 'text')} as normalized", "doc_id, idx", "texts")
+_scalar("mask_pii", _lines, lambda d: f"{S.mask_pii(d, 'text')} as masked", "doc_id, idx", "texts")
+_scalar("strip_currency", _lines, lambda d: f"{S.strip_currency(d, 'text')} as stripped", "doc_id, idx", "texts")
+_scalar("keyword_flags_multilingual", _lines, lambda d: ", ".join(f"{S.keyword_flag(d, 'text', k)} as kw_{k}" for k in bank.KEYWORDS) + f", {S.has_currency(d, 'text')} as has_currency", "doc_id, idx", "texts")
+_scalar("detect_language_norm", _lines, lambda d: f"{S.language(d, 'text')} as language", "doc_id, idx", "texts")
+_scalar("detect_language_ocr", _lines, lambda d: f"{S.language(d, 'text', ocr=True)} as language", "doc_id, idx", "texts")
+_scalar("correct_ocr_errors", X.literals, lambda d: f"{S.correct_ocr(d, 'text')} as corrected", "id", "literals")
+
+
+def _priced(d) -> dict[str, str]:
+    return {**X.blocks(d), **X.literals(d), "texts": "select document_id, cast(idx as bigint) as idx, text from invoice_blocks union all select 'literal', cast(id as bigint), text from literals"}
+
+
+_scalar("scalar_hp", _priced, lambda d: f"{S.scalar_hp(d, 'text')} as hp", "document_id, idx", "texts")
+_scalar("scalar_model", _priced, lambda d: f"{S.scalar_model(d, 'text')} as model", "document_id, idx", "texts")
+
+
+@plan
+def extract_numbers_indian(d):
+    return query(d, _priced(d), f"select document_id, idx, n as number from texts {d.explode(S.numbers(d, 'text'), 'n')}")
+
+
+def _evaluated(d, inner: bool) -> dict[str, str]:
+    flags = "select document_id, dealer_name, model_name, horse_power, cast(asset_cost as double) as asset_cost, cast(substring(document_id, 5) as bigint) % 20 = 10 as signature_present, cast(substring(document_id, 5) as bigint) % 30 = 10 as stamp_present, cast(substring(document_id, 5) as bigint) % 40 = 10 as signature_boxed, true as stamp_boxed from extracted"
+    return {**X.blocks(d), **X.truth(d), **E.fields(d), "extracted_eval": flags, **A.compared(d, inner)}
+
+
+@plan
+def document_accuracy(d):
+    total = "cast(count(*) as double)"
+    right = d.count_if("is_correct")
+    return query(
+        d, {**_evaluated(d, False), **A.judged()},
+        f"select cast(count(*) as bigint) as total, {right} as correct, {d.count_if('not is_correct and is_partial')} as partially_correct, {d.count_if('not is_correct and not is_partial')} as incorrect, round(100 * {right} / {total}, 2) as dla_percent, 100 * {right} / {total} >= 95 as meets_target from judged",
+    )
+
+
+@plan
+def field_prf1(d):
+    return query(d, {**_evaluated(d, True), **A.outcomes(d)}, "select field, tp, fp, fn, round(p, 3) as precision_, round(r, 3) as recall_, round(case when p + r > 0 then 2 * p * r / (p + r) else 0e0 end, 3) as f1 from scored")
+
+
+@plan
+def presence_prf1(d):
+    pred = "length(text) > 200"
+    steps = {"judged": f"select quality = 1 as due, {pred} as got from {d.table('labels')} l join {d.table('documents')} d on l.doc_id = d.doc_id"}
+    return query(d, steps, f"select {d.count_if('due and got')} as tp, {d.count_if('got and not due')} as fp, {d.count_if('due and not got')} as fn, round({d.count_if('due and got')} / cast({d.count_if('got')} as double), 3) as precision_ from judged")
+
+
+@plan
+def similarity_ratio(d):
+    steps = {**X.header(d), "names": f"select a, lower(a) as la, {F_.sorted_words(d, 'a')} as wa from (select distinct concat(nm, ' ', sfx) as a from header) x"}
+    both, left, right = F_.set_forms(d, "x.a", "y.a")
+    steps["pairs"] = f"select x.a as a, y.a as b, x.la as la, y.la as lb, x.wa as wa, y.wa as wb, {both} as c, {left} as l, {right} as r from names x join names y on x.a < y.a"
+    final = f"select a, b, {F_.ratio(d, 'la', 'lb')} as ratio, {F_.ratio(d, 'wa', 'wb')} as token_sort, greatest({F_.ratio(d, 'c', 'l')}, {F_.ratio(d, 'c', 'r')}, {F_.ratio(d, 'l', 'r')}) as token_set, round({S.jaccard(d, 'a', 'b')}, 6) as word_jaccard from pairs"
+    return query(d, steps, final)
+
+
+@plan
+def dealer_fuzzy_master(d):
+    """Every distinct dealer candidate against the master names, best score above 75; the matched name once more."""
+    steps = {
+        **X.blocks(d), **E.prepared(d), **E.candidates(d, ("dealer_name",)),
+        "master": f"select m, {F_.sorted_words(d, 'm')} as mw from (select distinct concat(nm, ' ', sfx) as m from header) x",
+        "distinct_values": f"select s, {F_.sorted_words(d, 's')} as sw from (select distinct s from candidates where seq < 9000000000000) x",
+        # A longer difference in length than this can't score above 75, so nothing is lost.
+        "scored": f"select s, m, {F_.ratio(d, 'mw', 'sw')} as pct from distinct_values join master on 200e0 * least(length(sw), length(mw)) >= 75 * (length(sw) + length(mw))",
+        "matched": f"select s, {d.first_by('m', d.struct(a='-pct', b='m'))} as m, max(pct) as pct from scored group by s having max(pct) > 75",
+        "firsts": f"select document_id, s, {d.first_by('conf', 'seq')} as conf, min(seq) as seq from candidates where seq < 9000000000000 group by document_id, s",
+        "fuzzy": "select f.document_id, f.s, m.m, m.pct, f.seq, least(f.conf * (m.pct / 90), 0.97e0) as conf from firsts f join matched m on f.s = m.s",
+        "again": f"select document_id, m, min(seq) as seq, {d.first_by('conf', 'seq')} as conf from fuzzy z where not exists (select 1 from firsts f where f.document_id = z.document_id and f.s = z.m) group by document_id, m",
+    }
+    return query(d, steps, "select document_id, s as candidate, m as matched, pct, round(conf, 6) as conf from fuzzy union all select document_id, m, m, 100e0, round(least(conf * (100e0 / 90), 0.97e0), 6) from again")
+
+
+@plan
+def line_groups(d):
+    return query(d, {**X.blocks(d, jitter=True), **L.line_groups(d)}, "select document_id, idx, cast(line_no as bigint) as line_no, x1 from lined")
+
+
+@plan
+def text_sequence(d):
+    steps = {**X.blocks(d, jitter=True), **L.line_groups(d), "joined": "select l.document_id, l.line_no, l.x1, l.idx, b.text from lined l join invoice_blocks b on l.document_id = b.document_id and l.idx = b.idx"}
+    steps["one_line"] = f"select document_id, line_no, {d.ordered_join('text', d.struct(a='x1', b='idx'), ' ')} as line from joined group by document_id, line_no"
+    return query(d, steps, f"select document_id, {d.ordered_join('line', 'line_no', ' / ')} as text from one_line group by document_id")
+
+
+_boxes = lambda d: {**X.detections(d), **D.filtered()}
+
+
+@plan
+def detection_filter(d):
+    return query(d, _boxes(d), "select doc, det_idx, class_name, confidence, x1, y1, x2, y2, area, cx, cy from passed")
+
+
+@plan
+def nms(d):
+    return query(d, {**_boxes(d), **D.kept_boxes(d)}, "select doc, det_idx, class_name, confidence from kept")
+
+
+@plan
+def iou_pairs(d):
+    return query(d, _boxes(d), f"select a.doc, a.det_idx as a, b.det_idx as b, round({S.iou('a.', 'b.')}, 6) as iou from passed a join passed b on a.doc = b.doc and a.det_idx < b.det_idx where {S.iou('a.', 'b.')} > 0")
+
+
+@plan
+def detection_summary(d):
+    pick = lambda c, k: f"max(case when class_name = '{k}' then {c} end)"
+    columns = ", ".join(f"{pick('n', k)} is not null as {k}_present, coalesce({pick('n', k)}, 0) as {k}_count, coalesce({pick('confidence', k)}, 0e0) as {k}_confidence, round({pick('iou', k)}, 6) as {k}_iou" for k in ("signature", "stamp"))
+    passes = " and ".join(f"coalesce({pick('iou', k)}, 0e0) > 0.5e0" for k in ("signature", "stamp"))
+    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d)}, f"select doc, {columns}, case when doc % 3 <> 0 then {passes} end as passes_threshold from matched group by doc")
+
+
+@plan
+def yolo_labels(d):
+    return query(d, _boxes(d), f"select doc, det_idx, {D.label_line(d)} as line from boxes")
+
+
+@plan
+def ordered_split(d):
+    steps = {**X.detections(d), "images": "select distinct doc from detections", "numbered": "select doc, row_number() over (order by doc) as n, count(*) over () as total from images"}
+    return query(d, steps, "select doc, case when n <= floor(total * 0.8e0) then 'train' else 'val' end as part from numbered")
+
+
+@plan
+def auto_annotate(d):
+    pick = lambda k: d.count_if(f"class_name = '{k}'")
+    return query(d, {**_boxes(d), **D.kept_boxes(d)}, f"select doc, {pick('signature')} as signatures, {pick('stamp')} as stamps, round(sum(x1 + y1 + x2 + y2), 6) as corner_sum from kept where confidence >= 0.6e0 group by doc having count(*) > 0")
+
+
+VLM_ROWS = (
+    '{"dealer_name": "Kumar Motors", "model_name": "575 DI", "horse_power": "50 HP", "asset_cost": "5,25,000", "signature_present": true, "stamp_present": false}',
+    'text {"dealer_name": null, "model_name": "None", "horse_power": 45, "asset_cost": 600000.5, "signature_present": "True", "stamp_present": "no"} tail',
+    "Dealer: Singh Traders, Model: SWARAJ 744 FE", "Horse power: 48 and cost: Rs 6,85,000", "no answer", '{"broken": ',
+)
+
+
+@plan
+def vlm_parse(d):
+    rows = ", ".join(f"({i}, '{t}')" for i, t in enumerate(VLM_ROWS))
+    columns = ", ".join(f"{e} as {f}" for f, e in M.parsed(d, "response").items())
+    return query(d, {"answers": f"select id, response from {d.values('id, response', rows)} r"}, f"select id, {columns} from answers")
+
+
+@plan
+def vlm_fallback_flag(d):
+    return query(d, {**_validated(d), "summed": f"select *, {E.overall()} as overall from crossed"}, f"select document_id, {M.needs_fallback()} as needs_fallback from summed")
+
+
+@plan
+def vlm_merge(d):
+    text = "string" if d.name == "spark" else "varchar"
+    steps = {**_validated(d), **X.truth(d), "joined": "select c.*, t.dealer_name as v_dealer_name, t.model_name as v_model_name, t.horse_power as v_horse_power, t.asset_cost as v_asset_cost from crossed c left join invoice_truth t on c.document_id = t.document_id"}
+    cols, confs = [], []
+    for f, c in E.SHORT.items():
+        m = M.merged(f, f"{c}_conf", f"cast({f} as double)" if f == "asset_cost" else f, f"v_{f}", text=text)
+        cols += [f"{m['value']} as {f}", f"round({m['conf']}, 6) as {c}_conf", f"{m['source']} as {c}_source"]
+        confs.append((m["value"], m["conf"]))
+    n = " + ".join(f"case when ({v}) is not null then 1 else 0 end" for v, _ in confs)
+    top = " + ".join(f"case when ({v}) is not null then ({x}) else 0e0 end" for v, x in confs)
+    return query(d, steps, f"select document_id, {', '.join(cols)}, round(case when ({n}) > 0 then ({top}) / ({n}) else 0e0 end, 6) as overall_confidence from joined")
+
+
+@plan
+def confidence_distribution(d):
+    x = "coalesce(confidence, 0e0)"
+    bands = ", ".join(f"{d.count_if(c)} as {n}" for n, c in (("high", f"{x} >= 0.9e0"), ("medium", f"{x} >= 0.7e0 and {x} < 0.9e0"), ("low", f"{x} < 0.7e0")))
+    over = ", ".join(f"{d.count_if(f'{x} >= 0.{k}e0')} as over_{k}" for k in ("95", "9", "8", "7"))
+    return query(d, X.eval_results(d), f"select cast(count(*) as bigint) as n, {A.spread(x)}, {bands}, {over}, round(100e0 * {d.count_if(f'{x} >= 0.9e0')} / count(*), 1) as high_percent from eval_results")
+
+
+@plan
+def confidence_histogram(d):
+    """Twenty equal bins from least to most, the last one closed."""
+    steps = {**X.eval_results(d), "ends": "select min(confidence) as lo, max(confidence) as hi from eval_results", "binned": "select least(cast(floor((confidence - lo) / (hi - lo) * 20) as bigint), 19) as bin from eval_results cross join ends"}
+    return query(d, steps, "select bin, cast(count(*) as bigint) as n from binned group by bin")
+
+
+@plan
+def performance_metrics(d):
+    parts = ", ".join(f"round(avg({c}_time_sec), 6) as {c}_mean, round(100e0 * avg({c}_time_sec) / avg(processing_time_sec), 4) as {c}_percent" for c in ("ocr", "extraction", "detection", "vlm"))
+    return query(d, X.eval_results(d), f"select {A.spread('processing_time_sec')}, {d.count_if('processing_time_sec <= 30')} as within_30s, {parts}, {d.count_if('vlm_used')} as vlm_used, round(3600e0 / avg(processing_time_sec), 4) as docs_per_hour from eval_results")
+
+
+@plan
+def cost_metrics(d):
+    x = "cost_estimate_usd"
+    buckets = ", ".join(f"{d.count_if(c)} as {n}" for n, c in (("under_001", f"{x} < 0.001e0"), ("under_005", f"{x} >= 0.001e0 and {x} < 0.005e0"), ("under_010", f"{x} >= 0.005e0 and {x} < 0.01e0"), ("over_010", f"{x} >= 0.01e0")))
+    return query(d, X.eval_results(d), f"select {A.spread(x)}, round(sum({x}), 4) as total, {buckets}, avg({x}) <= 0.01e0 as meets_target from eval_results")
+
+
+@plan
+def error_analysis(d):
+    rows = [("class", A.ERROR_CLASS.format(x="error"), "status = 'failed'"), ("issue", "'low_confidence'", "status = 'success' and confidence < 0.7e0"), ("issue", "'high_processing_time'", "status = 'success' and processing_time_sec > 30"), ("issue", "'high_cost'", "status = 'success' and cost_estimate_usd > 0.01e0")]
+    return query(d, X.eval_results(d), " union all ".join(f"select '{k}' as kind, {v} as name, cast(count(*) as bigint) as n from eval_results where {w} group by {v}" for k, v, w in rows))
+
+
+@plan
+def error_samples(d):
+    """The twenty results of lowest confidence, in input order where equal; a top-k report."""
+    return query(d, X.eval_results(d), f"select doc_id, round(coalesce(confidence, 0e0), 6) as confidence, round(processing_time_sec, 6) as processing_time, status, case when status = 'failed' then {A.ERROR_CLASS.format(x='error')} end as error_class from eval_results order by coalesce(confidence, 0e0), doc_id limit 20")
+
+
+@plan
+def field_issues(d):
+    return query(d, _evaluated(d, True), f"select document_id, {A.field_issues(d)} as issues from extracted_eval")
+
+
+def _summary_steps(d) -> dict[str, str]:
+    success = d.count_if("status = 'success'")
+    return {
+        **X.eval_results(d),
+        "keys": f"""select avg(confidence) as c, avg(processing_time_sec) as t, avg(cost_estimate_usd) as k, 100e0 * {success} / count(*) as s, count(*) as n, {d.count_if("status = 'failed'")} as failed,
+            100e0 * {d.count_if('confidence < 0.7e0')} / count(*) as low_percent, {d.count_if('processing_time_sec <= 30')} as in_time, {d.count_if('vlm_used')} as vlm from eval_results""",
+        "targets": "select *, c >= 0.95e0 as t1, t <= 30 as t2, k <= 0.01e0 as t3, round(s, 1) >= 95 as t4 from keys",
+        "reached": "select *, cast(t1 as int) + cast(t2 as int) + cast(t3 as int) + cast(t4 as int) as m from targets",
+    }
+
+
+@plan
+def executive_summary(d):
+    return query(d, _summary_steps(d), "select round(c, 3) as average_confidence, round(t, 3) as average_time, round(k, 6) as average_cost, round(s, 1) as success_rate, t1 as confidence_target, t2 as time_target, t3 as cost_target, t4 as success_target, case when m = 4 then 'EXCELLENT - All targets achieved' when m >= 3 then 'GOOD - Most targets achieved' when m >= 2 then 'FAIR - Some targets achieved' else 'NEEDS IMPROVEMENT - Few targets achieved' end as assessment from reached")
+
+
+@plan
+def recommendations(d):
+    advice = d.array(
+        "case when low_percent > 20 then 'Improve OCR accuracy for low-quality scans using better preprocessing' end",
+        "case when in_time < n * 0.9e0 then 'Optimize VLM usage - only use when confidence is very low to reduce processing time' end",
+        "case when failed > n * 0.1e0 then 'Add retry logic for failed OCR attempts with different preprocessing parameters' end",
+        "case when vlm > n * 0.3e0 then 'Reduce VLM dependency by improving rule-based extraction patterns' end",
+        "'Implement active learning to improve model with difficult cases'", "'Add more language-specific patterns for Hindi and Gujarati documents'",
+        "'Optimize YOLO model with more signature/stamp training data'", "'Implement caching for frequently seen document templates'",
+    )
+    return query(d, _summary_steps(d), f"select cast(place as bigint) as place, advice from (select * from reached) r {d.explode(d.keep(advice, lambda v: f'{v} is not null'), 'advice', 'place')}")
+
+
+def _processed(d) -> dict[str, str]:
+    """Results of the whole pipeline: validated fields, flags, band, times and cost."""
+    steps = {**_validated(d), "timed": f"select *, {E.overall()} as overall, 100e0 + cast(substring(document_id, 5) as bigint) % 900 as ms, cast(substring(document_id, 5) as bigint) % 170 = 0 as broken from crossed"}
+    steps["results"] = f"select *, case when broken then 'failed' else 'success' end as status, {S.cost_estimate('ms')} as cost_usd, cast(substring(document_id, 5) as bigint) % 20 = 10 as signature_present, cast(substring(document_id, 5) as bigint) % 30 = 10 as stamp_present from timed"
+    return steps
+
+
+@plan
+def batch_summary(d):
+    ok = "status = 'success'"
+    rate = lambda c: f"round({d.count_if(f'{ok} and {c}')} / cast({d.count_if(ok)} as double), 6)"
+    only = lambda c: f"case when {ok} then {c} end"
+    fields = ", ".join(f"{rate(f'{f} is not null')} as {f}_rate" for f in bank.FIELDS)
+    return query(
+        d, _processed(d),
+        f"select cast(count(*) as bigint) as total_documents, {d.count_if(ok)} as successful, {d.count_if(f'not ({ok})')} as failed, round(avg({only('overall')}), 6) as mean_confidence, round(min({only('overall')}), 6) as min_confidence, round(max({only('overall')}), 6) as max_confidence, "
+        f"{d.count_if(f'{ok} and overall >= 0.85e0')} as high_count, {d.count_if(f'{ok} and overall >= 0.65e0 and overall < 0.85e0')} as medium_count, {d.count_if(f'{ok} and overall < 0.65e0')} as low_count, "
+        f"round(avg({only('ms')}), 6) as mean_ms, round(sum({only('ms')}) / 1000, 6) as total_sec, round(sum({only('cost_usd')}), 9) as total_usd, {fields}, {rate('signature_present')} as signature_rate, {rate('stamp_present')} as stamp_rate from results",
+    )
+
+
+@plan
+def public_output(d):
+    confs = ", ".join(f"round({c}_conf, 4) as {c}_confidence" for c in E.SHORT.values())
+    return query(d, _processed(d), f"select document_id, dealer_name, model_name, horse_power, asset_cost, {confs}, nullif(round(case when signature_present then 0.5e0 else 0e0 end, 4), 0) as signature_iou, round(overall, 4) as overall_confidence, round(ms, 2) as processing_time_ms, status from results")
+
+
+@plan
+def cost_estimate(d):
+    return query(d, _processed(d), f"select document_id, round({S.cost_estimate('ms')}, 12) as cpu_usd, round({S.cost_estimate('ms', gpu=True)}, 12) as gpu_usd from results")
+
+
+@plan
+def ocr_doc_stats(d):
+    """Blocks, mean confidence and languages of each document."""
+    lang = S.language(d, "text", ocr=True)
+    return query(d, X.blocks(d), f"select document_id, cast(count(*) as bigint) as total_blocks, round(coalesce(avg(confidence), 0e0), 6) as avg_confidence, cast(count(distinct {lang}) as bigint) as languages from invoice_blocks group by document_id")
+
+
+@plan
+def pdf_page_stats(d):
+    """Blocks, confidence and full text of each page; three blocks a page here."""
+    steps = {**X.blocks(d), "paged": "select *, cast(floor(idx / 3) as bigint) + 1 as page from invoice_blocks"}
+    return query(d, steps, f"select document_id, page, cast(count(*) as bigint) as block_count, round(avg(confidence), 6) as avg_confidence, {d.ordered_join('text', 'idx', ' ')} as full_text from paged group by document_id, page")
+
+
+@plan
+def region_text(d):
+    """Text of the blocks inside a padded, clipped region."""
+    steps = {**X.blocks(d), "inside": "select * from invoice_blocks where x1 >= greatest(0, 45 - 5) and y1 >= greatest(0, 100 - 5) and x2 <= least(600, 400 + 5) and y2 <= least(400, 250 + 5)", "documents_seen": "select distinct document_id from invoice_blocks"}
+    steps["read_texts"] = f"select document_id, {d.ordered_join('text', 'idx', ' ')} as text from inside group by document_id"
+    return query(d, steps, "select u.document_id, coalesce(r.text, '') as text from documents_seen u left join read_texts r on u.document_id = r.document_id")
+
+
+@plan
+def gt_join(d):
+    return query(d, {**_evaluated(d, False)}, "select r.document_id, t.document_id is not null as has_truth, t.horse_power as true_hp from extracted_eval r left join invoice_truth t on r.document_id = t.document_id")
+
+
+@plan
+def master_semi_join(d):
+    steps = {**X.blocks(d), **E.fields(d), **X.truth(d), "known_models": "select distinct model_name as known from invoice_truth"}
+    return query(d, steps, "select document_id, model_name from extracted where model_name in (select known from known_models)")
+
+
+@plan
+def full_text(d):
+    """The blocks of a document in order."""
+    return query(d, X.blocks(d), f"select document_id, {d.ordered_join('text', 'idx', ' ')} as text from invoice_blocks group by document_id")
+
+
+@plan
+def conversation_text(d):
+    """A21 over conversations: turns in order."""
+    return query(d, {}, f"select conv_id, {d.ordered_join('text', 'turn', ' ')} as text from {d.table('conversations')} where conv_id is not null group by conv_id").replace("with \n", "")
+
+
+@plan
+def extraction_report(d):
+    """How many fields were found, and in how many documents all four."""
+    every = " and ".join(f"{f} is not null" for f in bank.FIELDS)
+    n = " + ".join(f"cast({f} is not null as int)" for f in bank.FIELDS)
+    return query(d, {**X.blocks(d), **E.fields(d)}, f"select cast(count(*) as bigint) as total, cast(sum({n}) as bigint) as successful_fields, round(sum({n}) / (4e0 * count(*)), 6) as field_rate, round({d.count_if(every)} / cast(count(*) as double), 6) as all_four_rate, round(avg({E.overall()}), 6) as mean_confidence from extracted")
+
+
+@plan
+def stage_stats(d):
+    """Times of a stage and its rate."""
+    return query(d, X.eval_results(d), f"select cast(count(*) as bigint) as n, round(avg(ocr_time_sec * 1000), 6) as mean_ms, round(median(ocr_time_sec * 1000), 6) as median_ms, round(1 / avg(ocr_time_sec), 6) as pages_per_sec from eval_results")
+
+
+@plan
+def preprocess_params(d):
+    """settings by image area."""
+    return query(d, _boxes(d), "select doc, det_idx, case when area * 20000 > 4000000 then 'large' when area * 20000 > 1000000 then 'medium' else 'small' end as band from boxes")
+
+
+@plan
+def llm_prompt(d):
+    """the context cut to 300 characters inside the prompt; the cut is the feature."""
+    steps = {**X.blocks(d), "full_texts": f"select document_id, {d.ordered_join('text', 'idx', ' ')} as text from invoice_blocks group by document_id"}
+    return query(d, steps, "select document_id, concat('Extract dealer_name, model_name, horse_power, asset_cost as JSON from: ', substring(text, 1, 300)) as prompt from full_texts")
+
+
+@plan
+def document_ids(d):
+    rows = "('/a/b/scan_01.png'), ('scan.tar.gz'), ('/x.y/noext'), ('s3://b/k/inv-7.PDF')"
+    return query(d, {"paths": f"select path from {d.values('path', rows)} p"}, f"select path, {S.document_id(d, 'path')} as document_id from paths")
