@@ -510,3 +510,23 @@ def llm_prompt(d):
 def document_ids(d):
     rows = "('/a/b/scan_01.png'), ('scan.tar.gz'), ('/x.y/noext'), ('s3://b/k/inv-7.PDF')"
     return query(d, {"paths": f"select path from {d.values('path', rows)} p"}, f"select path, {S.document_id(d, 'path')} as document_id from paths")
+
+
+def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..streaming.progress import progress
+
+    return progress(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+QUERIES["stream_progress"] = _progress
+ORACLES["stream_progress"] = "select date_trunc('hour', ts) as window_start, event_type, cast(count(*) as bigint) as n, round(sum(value), 4) as total from events group by all"
+
+
+def _source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 over any directory: here the Parquet files themselves stand for pictures."""
+    from ..sources.readers import images
+
+    return images(spark, sf_dir, ("parquet",)).select("document_id", "length")
+
+
+QUERIES["document_source_scan"] = _source_scan
