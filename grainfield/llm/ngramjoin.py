@@ -5,7 +5,7 @@ whole run). Documents with equal sets are one class. Under any global order of d
 similarity of `num`/`den` or more share a digest among the first n - ceil(n num/den) + 1 of each; here three orders are
 used, all with frequent digests last (by counters of fixed number over all documents) and each with a hash of its own
 behind that. Postings of the first order propose candidates; a candidate must also share a prefix digest under the
-second and the third order before its sets are intersected.
+second and the third order, first by short marks of them and then by the digests, before its sets are intersected.
 
 Candidates come in two rounds, so a group of near copies costs no square of links: in the first, every class is compared
 with one pivot of each posting list; in the second, pairs of a list whose members the links so far leave in different
@@ -129,7 +129,7 @@ def prefix_sizes(n: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def postings(docs: DataFrame, width: int, num: int, den: int, classes) -> DataFrame:
-    """Rows (doc_id, n, prefix): the prefix digests of each document under the first order."""
+    """Rows (doc_id, n, prefix, marks): the prefix digests of each document under the first order, and 2-byte marks of those under each further one."""
 
     def run(parts):
         memo, rank = word_digests(), classes.value
@@ -137,13 +137,31 @@ def postings(docs: DataFrame, width: int, num: int, den: int, classes) -> DataFr
             h, at = shingle_sets(texts, width, memo)
             n = np.diff(at)
             doc = np.repeat(np.arange(len(texts)), n)
-            place = np.lexsort((order_keys(h, rank, 0), doc))
             take = prefix_sizes(n, num, den)
+            ends = np.r_[0, np.cumsum(take)]
             kept = np.arange(len(h)) - at[:-1][doc] < take[doc]
-            values, offsets = h[place][kept].view(np.int64), np.r_[0, np.cumsum(take)].astype(np.int32)
-            yield pa.record_batch([some.column(0).cast(pa.int64()), pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "n", "prefix"])
+            prefixes = [h[np.lexsort((order_keys(h, rank, order), doc))][kept] for order in range(len(SALTS))]
+            values = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefixes[0].view(np.int64)))
+            marks = [(p >> np.uint64(30)).astype("<u2") for p in prefixes[1:]]
+            blobs = [b"".join(m[i:j].tobytes() for m in marks) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.record_batch([some.column(0).cast(pa.int64()), pa.array(n.astype(np.int32)), values, pa.array(blobs, pa.binary())], ["doc_id", "n", "prefix", "marks"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, prefix array<long>, marks binary")
+
+
+def screened(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share a mark under every further order: a few hundred bytes a document decide before any set is built."""
+
+    def run(parts):
+        for part in parts:
+            ok = []
+            for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                x, y = (np.frombuffer(m, "<u2").reshape(len(SALTS) - 1, -1) for m in (x, y))
+                ok.append(all(len(np.intersect1d(p, q)) for p, q in zip(x, y, strict=True)))
+            yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    left, right = (entries.select(F.col("doc_id").alias(k), F.col("marks").alias(m)) for k, m in (("a", "x"), ("b", "y")))
+    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct())
 
 
 def packed_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
@@ -160,7 +178,7 @@ def packed_sets(docs: DataFrame, width: int, wanted) -> DataFrame:
                 blobs = [raw[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.record_batch([some.column(0).cast(pa.int64()), pa.array(np.diff(at)), pa.array(blobs, pa.binary())], ["doc", "n", "digests"])
 
-    return docs.filter("doc_id is not null").select("doc_id", "text", _bucket("doc_id")).mapInArrow(run, "doc long, n long, digests binary").dropDuplicates(["doc"])
+    return docs.filter("doc_id is not null").select("doc_id", "text", _bucket("doc_id")).mapInArrow(run, "doc long, n long, digests binary")
 
 
 def _bucket(column: str):
@@ -197,8 +215,8 @@ def is_link(x: np.ndarray, y: np.ndarray, classes: np.ndarray, num: int, den: in
     return den * common >= num * (len(x) + len(y) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, classes) -> DataFrame:
-    """The pairs (a, b) that are links."""
+def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int, classes) -> DataFrame:
+    """The pairs (a, b) that are links; sets are built for their documents alone (and a few that share a bucket with one)."""
 
     def run(parts):
         rank = classes.value
@@ -207,6 +225,11 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, classes) ->
             ok = [is_link(unpack(x), unpack(y), rank, num, den) for x, y in zip(cols[2], cols[3], strict=True)]
             yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    if pairs.isEmpty():
+        return pairs
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
+    sets = cut(packed_sets(docs, width, wanted))
     left = sets.select(F.col("doc").alias("a"), F.col("digests").alias("x"))
     right = sets.select(F.col("doc").alias("b"), F.col("digests").alias("y"))
     return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
@@ -219,16 +242,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     classes = spark.sparkContext.broadcast(frequency_classes(profiles))
     nodes = profiles.filter("segment is null").select("doc_id", "n", "f0", "f1")
     reps = cut(nodes.filter("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(F.min("doc_id").alias("rep")))
-    entries = postings(docs, width, num, den, classes).join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    entries = entries.select(F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token"))
+    entries = cut(postings(docs, width, num, den, classes).filter("n > 0 and doc_id is not null"))
+    first = entries.select("doc_id", "n", "prefix").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    first = first.select(F.col("doc_id").alias("doc"), "n", F.explode("prefix").alias("token"))
     same = Window.partitionBy("token")
-    lists = entries.withColumn("m", F.count("*").over(same)).withColumn("pivot", F.min(F.struct("doc", "n")).over(same)).filter("m > 1")
+    lists = first.withColumn("m", F.count("*").over(same)).withColumn("pivot", F.min(F.struct("doc", "n")).over(same)).filter("m > 1")
     lists = cut(lists.select("token", "doc", "n", "m", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
     near = f"{num} * greatest(n, other_n) <= {den} * least(n, other_n)"
-    star = cut(lists.withColumn("other_n", F.col("pivot_n")).filter(f"doc > pivot and {near}").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct())
-    wanted = spark.sparkContext.broadcast(bitmap(lists.select("doc").distinct()))
-    sets = cut(packed_sets(docs, width, wanted))
-    links = verified(star, sets, num, den, classes)
+    star = lists.withColumn("other_n", F.col("pivot_n")).filter(f"doc > pivot and {near}").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
+    links = verified(screened(star, entries), docs, width, num, den, classes)
     so_far = cut(min_label_components(links))
     # Lists of two have been compared; of longer ones, what isn't connected yet.
     rest = lists.filter("m > 2 and doc <> pivot").join(so_far.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
@@ -236,7 +258,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     rest = cut(rest.join(mixed, "token").select("token", "doc", "n", "component"))
     other = rest.select("token", F.col("doc").alias("b"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
     across = rest.join(other, "token").filter(f"doc < b and component <> other_component and {near}").select(F.col("doc").alias("a"), "b").distinct()
-    links = links.union(verified(cut(across), sets, num, den, classes))
+    links = links.union(verified(screened(across, entries), docs, width, num, den, classes))
     found = cut(min_label_components(links))
     named = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(F.col("n").alias("rn"), F.col("f0").alias("r0"), F.col("f1").alias("r1"), F.coalesce("component", "rep").alias("component"))
     out = nodes.join(named, (F.col("n") == F.col("rn")) & (F.col("f0") == F.col("r0")) & (F.col("f1") == F.col("r1")) & F.col("doc_id").isNotNull(), "left")
