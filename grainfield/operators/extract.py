@@ -15,13 +15,14 @@ def prepared(d, source: str = "invoice_blocks") -> dict[str, str]:
     """Blocks that aren't blank, by position, with numbers, flags and section starts."""
     return {
         "stripped": f"select document_id, idx, {strip(d, 'text')} as original, confidence as conf from {source}",
-        "placed": f"""select document_id, idx, original, conf, lower(original) as text, {block_numbers(d, 'original')} as nums,
+        "placed": f"""select document_id, idx, original, conf, lower(original) as text, {clean_dealer(d, 'original')} as own_name, {block_numbers(d, 'original')} as nums,
             {any_of(bank.BLOCK_CURRENCY, 'original', d)} as has_currency, {has_business_suffix(d, 'original')} as has_suffix,
             row_number() over (partition by document_id order by idx) - 1 as pos from stripped where original <> ''""",
         "flagged": f"""select *, {', '.join(f"{section_flag(d, 'text', s)} as kw_{s}" for s in bank.SECTION_KEYWORDS)} from placed""",
-        "prepared": """select *, min(case when kw_specs then pos end) over (partition by document_id) as specs_at, min(case when kw_financial then pos end) over (partition by document_id) as financial_at,
+        "windowed": """select *, min(case when kw_specs then pos end) over (partition by document_id) as specs_at, min(case when kw_financial then pos end) over (partition by document_id) as financial_at,
             lead(original) over (partition by document_id order by pos) as next_original, lead(conf) over (partition by document_id order by pos) as next_conf,
             lead(nums) over (partition by document_id order by pos) as next_nums from flagged""",
+        "prepared": f"""select *, {clean_dealer(d, "concat(original, ' ', next_original)")} as joint_name from windowed""",
     }
 
 
@@ -49,11 +50,11 @@ def dealer_arrays(d) -> list[str]:
 
         keep = d.keep(d.transform(names, scored, index=True), lambda c: valid_dealer(d, f"{c}.s"))
         out.append(f"case when pos < 25 then {keep} end")
-    own = clean_dealer(d, "original")
+    own = "own_name"
     one = candidate(d, "dealer_name", seq(2), s=own, conf="case when pos < 5 then least(conf * 0.82e0 * 1.12e0, 0.94e0) else conf * 0.82e0 end", source="business_suffix")
     out.append(f"case when pos < 15 and has_suffix and {valid_dealer(d, own)} then {d.array(one)} end")
     capital = lambda x: f"(substring({x}, 1, 1) = upper(substring({x}, 1, 1)) and substring({x}, 1, 1) <> lower(substring({x}, 1, 1)))"
-    both = clean_dealer(d, "concat(original, ' ', next_original)")
+    both = "joint_name"
     pair = candidate(d, "dealer_name", seq(3), s=both, conf="least(conf, next_conf) * 0.75e0", source="multiline")
     out.append(f"case when pos < 20 and next_original is not null and {capital('original')} and {capital('next_original')} and {d.size('nums')} = 0 and {d.size('next_nums')} = 0 and length({both}) > 10 and {valid_dealer(d, both)} then {d.array(pair)} end")
     last = candidate(d, "dealer_name", seq(9), s=own, conf="conf * 0.60e0", source="fallback")
