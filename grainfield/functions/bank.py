@@ -120,3 +120,4 @@ DETECTION_AREA = (0.00005, 0.6)
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "tif", "pdf")
 DETECTOR_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "pdf")
 PRICE_PER_HOUR = {"gpu": 0.10, "cpu": 0.01}
+LANGUAGE_ALIASES = {"english": ("english", "en", "eng"), "hindi": ("hindi", "hi", "hin"), "gujarati": ("gujarati", "gu", "guj")}

@@ -155,3 +155,9 @@ def document_id(d, path: str) -> str:
 def cost_estimate(ms: str, gpu: bool = False) -> str:
     """F24."""
     return f"{ms} / 1000e0 * ({bank.PRICE_PER_HOUR['gpu' if gpu else 'cpu']}e0 / 3600e0)"
+
+
+def language_alias(x: str) -> str:
+    """the language that a code or name stands for; English where unknown."""
+    when = " ".join(f"when lower({x}) in ({', '.join(repr(a) for a in names)}) then '{lang}'" for lang, names in bank.LANGUAGE_ALIASES.items())
+    return f"case {when} else 'english' end"

@@ -512,6 +512,16 @@ def document_ids(d):
     return query(d, {"paths": f"select path from {d.values('path', rows)} p"}, f"select path, {S.document_id(d, 'path')} as document_id from paths")
 
 
+@plan
+def validate_boxes(d):
+    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d), **V.validated_boxes()}, "select doc, class_name, confidence, round(adjusted, 6) as adjusted, usual_size from box_rules")
+
+
+@plan
+def language_aliases(d):
+    return query(d, {"codes": f"select distinct lang as code from {d.table('documents')} union all select x from {d.values('x', "('HI'), ('Guj'), ('english'), ('xx')")} v"}, f"select code, {S.language_alias('code')} as language from codes")
+
+
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.progress import progress
 

@@ -69,3 +69,10 @@ def test_stream_equals_batch(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("progress").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("progress").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_composition(spark):
+    from grainfield.functions.unicode import composed
+
+    rows = spark.createDataFrame([("ﬁ ½ é",), ("plain",), (None,)], "t string")
+    assert [r[0] for r in rows.select(composed(F.col("t"))).collect()] == ["fi 1⁄2 é", "plain", None]
