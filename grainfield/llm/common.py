@@ -76,24 +76,25 @@ def mix64(x):
         return x ^ (x >> np.uint64(31))
 
 
-def min_label_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def min_label_components(edges: DataFrame, max_rounds: int = 60, edges_a_task: int = 100_000) -> DataFrame:
     """Connected components of `edges(a, b)` as rows (id, component), component the smallest id reachable.
 
     Alternating large-star and small-star rounds; every round is a join and map-side combined minima, so a hub with
     very many links costs rows, never a gathered neighbour list. Rounds end once the edge set stops changing and each
-    is checkpointed, so a lost executor repeats one round at most. Only ids of linked nodes come back. Null ends and
-    loops are left out; without edges the result is empty.
+    is written out, so a lost executor repeats one round at most. The number of tasks follows the number of edges, so a
+    small graph doesn't pay for many empty tasks. Only ids of linked nodes come back. Null ends and loops are left out; without edges
+    the result is empty.
     """
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, tasks: int) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         if large:  # neighbours above the node hang on its minimum
             out = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:  # neighbours below the node, and the node, hang on the minimum
             below = both.filter("b < a").join(low, "a")
-            out = below.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        return out.filter("a <> b").distinct()
+            out = below.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        return out.filter("a <> b").coalesce(tasks).distinct().coalesce(tasks)
 
     def mark(e: DataFrame) -> tuple:
         row = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
@@ -108,7 +109,8 @@ def min_label_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        e = cut(star(star(e, True), False))
+        tasks = 1 + seen[0] // edges_a_task
+        e = cut(star(star(e.coalesce(tasks), True, tasks), False, tasks))
         now = mark(e)
         if now == seen:
             break
