@@ -80,6 +80,10 @@ class Spark:
     def ordered_join(self, value: str, order: str, by: str) -> str:
         return f"array_join(transform(array_sort(collect_list(named_struct('o', {order}, 'v', {value}))), x_ -> x_.v), '{by}')"
 
+    def round6(self, x: str) -> str:
+        """Six places as DuckDB rounds a double, by way of x * 1e6, which tells halves apart otherwise than Spark's decimal round."""
+        return f"(round(({x}) * 1e6) / 1e6)"
+
     def values(self, columns: str, rows: str) -> str:
         return f"(select * from values {rows} as t({columns}))"
 
@@ -92,6 +96,9 @@ class Duck(Spark):
 
     name = "duck"
 
+    def round6(self, x: str) -> str:
+        return f"round({x}, 6)"
+
     def table(self, name: str) -> str:
         return name
 

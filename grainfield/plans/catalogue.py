@@ -33,11 +33,11 @@ def plan(build: Callable) -> Callable:
     return build
 
 
-def rounded(*columns: str) -> str:
-    return ", ".join(f"round({c}, 6) as {c}" for c in columns)
+def rounded(d, *columns: str) -> str:
+    return ", ".join(f"{d.round6(c)} as {c}" for c in columns)
 
 
-CONFS = rounded("dealer_conf", "model_conf", "hp_conf", "cost_conf")
+CONFS = "dealer_conf", "model_conf", "hp_conf", "cost_conf"
 
 
 @plan
@@ -47,13 +47,13 @@ def prepare_blocks(d):
 
 def _candidate_plan(field: str, name: str):
     def build(d):
-        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,))}, "select document_id, seq, s, v, round(conf, 6) as conf, source from candidates")
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,))}, f"select document_id, seq, s, v, {d.round6('conf')} as conf, source from candidates")
 
     build.__name__ = name
     plan(build)
 
     def top(d):
-        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,)), **E.best(d)}, "select document_id, s, v, round(conf, 6) as conf, source from best")
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,)), **E.best(d)}, f"select document_id, s, v, {d.round6('conf')} as conf, source from best")
 
     top.__name__ = name.replace("candidates", "top1")
     plan(top)
@@ -65,17 +65,17 @@ for _field, _name in (("horse_power", "hp_candidates"), ("asset_cost", "cost_can
 
 @plan
 def extract_fields(d):
-    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, dealer_name, model_name, horse_power, asset_cost, {CONFS} from extracted")
+    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, dealer_name, model_name, horse_power, asset_cost, {rounded(d, *CONFS)} from extracted")
 
 
 @plan
 def overall_confidence(d):
-    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, round({E.overall()}, 6) as overall_confidence from extracted")
+    return query(d, {**X.blocks(d), **E.fields(d)}, f"select document_id, {d.round6(E.overall())} as overall_confidence from extracted")
 
 
 @plan
 def light_validation(d):
-    return query(d, {**X.blocks(d), **E.fields(d), **E.light_validation(d)}, f"select document_id, {rounded('hp_conf', 'cost_conf')}, round({E.overall()}, 6) as overall_confidence from light")
+    return query(d, {**X.blocks(d), **E.fields(d), **E.light_validation(d)}, f"select document_id, {rounded(d, 'hp_conf', 'cost_conf')}, {d.round6(E.overall())} as overall_confidence from light")
 
 
 @plan
@@ -90,12 +90,12 @@ def _validated(d) -> dict[str, str]:
 @plan
 def validate_fields(d):
     issues = ", ".join(f"{f}_issues, {f}_boosts" for f in ("dealer", "model", "hp", "cost"))
-    return query(d, {**X.blocks(d), **E.fields(d), **V.validated(d)}, f"select document_id, {CONFS}, {issues} from ruled")
+    return query(d, {**X.blocks(d), **E.fields(d), **V.validated(d)}, f"select document_id, {rounded(d, *CONFS)}, {issues} from ruled")
 
 
 @plan
 def cross_validate(d):
-    return query(d, _validated(d), f"select document_id, {CONFS}, hp_mismatch, round({E.overall()}, 6) as overall_confidence from crossed")
+    return query(d, _validated(d), f"select document_id, {rounded(d, *CONFS)}, hp_mismatch, {d.round6(E.overall())} as overall_confidence from crossed")
 
 
 @plan
@@ -109,7 +109,7 @@ def flagship_invoice_extraction(d):
     overall = E.overall()
     return query(
         d, {**X.blocks(d), **E.fields(d), **V.validated(d)},
-        f"select document_id, horse_power as hp, round(hp_conf, 6) as hp_conf, asset_cost as cost, round(cost_conf, 6) as cost_conf, round({overall}, 6) as overall_confidence, "
+        f"select document_id, horse_power as hp, {d.round6('hp_conf')} as hp_conf, asset_cost as cost, {d.round6('cost_conf')} as cost_conf, {d.round6(overall)} as overall_confidence, "
         f"case when {overall} >= 0.85e0 then 'high' when {overall} >= 0.65e0 then 'medium' else 'low' end as band from crossed",
     )
 
@@ -137,8 +137,8 @@ def validation_summary(d):
     mean = f"({' + '.join(f'coalesce({t}, 0e0)' for t in there)}) / n_complete"
     return query(
         d, _complete(d),
-        f"select document_id, round(overall, 6) as overall_confidence, {quality} as quality_level, high_severity, {d.join(d.keep(advice, lambda v: f'{v} is not null'), ' | ')} as recommendations, cast(n_complete as bigint) as fields_validated, "
-        f"round(coalesce(least({', '.join(there)}), 0e0), 6) as min_confidence, round(coalesce(greatest({', '.join(there)}), 0e0), 6) as max_confidence, round(case when n_complete = 0 then 0e0 else {mean} end, 6) as avg_confidence, "
+        f"select document_id, {d.round6('overall')} as overall_confidence, {quality} as quality_level, high_severity, {d.join(d.keep(advice, lambda v: f'{v} is not null'), ' | ')} as recommendations, cast(n_complete as bigint) as fields_validated, "
+        f"{d.round6('coalesce(least(' + ', '.join(there) + '), 0e0)')} as min_confidence, {d.round6('coalesce(greatest(' + ', '.join(there) + '), 0e0)')} as max_confidence, {d.round6(f'case when n_complete = 0 then 0e0 else {mean} end')} as avg_confidence, "
         f"({quality}) = 'high' and high_severity = '' as document_ready from summed",
     )
 
@@ -321,11 +321,11 @@ def vlm_merge(d):
     cols, confs = [], []
     for f, c in E.SHORT.items():
         m = M.merged(f, f"{c}_conf", f"cast({f} as double)" if f == "asset_cost" else f, f"v_{f}", text=text)
-        cols += [f"{m['value']} as {f}", f"round({m['conf']}, 6) as {c}_conf", f"{m['source']} as {c}_source"]
+        cols += [f"{m['value']} as {f}", f"{d.round6(m['conf'])} as {c}_conf", f"{m['source']} as {c}_source"]
         confs.append((m["value"], m["conf"]))
     n = " + ".join(f"case when ({v}) is not null then 1 else 0 end" for v, _ in confs)
     top = " + ".join(f"case when ({v}) is not null then ({x}) else 0e0 end" for v, x in confs)
-    return query(d, steps, f"select document_id, {', '.join(cols)}, round(case when ({n}) > 0 then ({top}) / ({n}) else 0e0 end, 6) as overall_confidence from joined")
+    return query(d, steps, f"select document_id, {', '.join(cols)}, {d.round6(f'case when ({n}) > 0 then ({top}) / ({n}) else 0e0 end')} as overall_confidence from joined")
 
 
 @plan

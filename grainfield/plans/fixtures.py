@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def header(d) -> dict[str, str]:
-    """A row for each tenth order: who sells what, at which power and cost."""
+    """A row for each order: who sells what, at which power and cost."""
     return {
-        "li": f"select l_orderkey as ok, min(l_partkey) as pk, min(l_suppkey) as sk from {d.table('lineitem')} where l_orderkey % 10 = 0 group by l_orderkey",
+        "li": f"select l_orderkey as ok, min(l_partkey) as pk, min(l_suppkey) as sk from {d.table('lineitem')} group by l_orderkey",
         "header": f"""select ok, pk, sk, cast(20 + 2 * p_size as int) as hp, cast(floor(o_totalprice) as bigint) as cost,
             cast(floor(floor(o_totalprice) / 100000) as bigint) as lk, cast(floor(floor(o_totalprice) / 1000) as bigint) % 100 as th, cast(floor(o_totalprice) as bigint) % 1000 as un,
             case pk % 5 when 0 then 'MAHINDRA' when 1 then 'SWARAJ' when 2 then 'SONALIKA' when 3 then 'EICHER' else 'KUBOTA' end as brand,
@@ -20,13 +20,13 @@ def header(d) -> dict[str, str]:
 def blocks(d, jitter: bool = False) -> dict[str, str]:
     """invoice_blocks(document_id, idx, text, confidence, x1, y1, x2, y2): nine blocks for each header row."""
     texts = [
-        "case when ok % 30 = 0 then concat('M/s ', nm, ' ', sfx) when ok % 30 = 10 then upper(concat(nm, ' ', sfx)) else concat('Dealer: ', nm, ' ', sfx) end",
+        "case when ok % 3 = 0 then concat('M/s ', nm, ' ', sfx) when ok % 3 = 1 then upper(concat(nm, ' ', sfx)) else concat('Dealer: ', nm, ' ', sfx) end",
         "'Village: Rampur, Meerut'", "'QUOTATION'",
-        "case when ok % 20 = 0 then concat('Model: ', brand, ' ', mno, ' DI') else concat(brand, ' ', mno) end",
+        "case when cast(floor(ok / 10) as bigint) % 2 = 0 then concat('Model: ', brand, ' ', mno, ' DI') else concat(brand, ' ', mno) end",
         "'Engine Specifications'",
-        "case when ok % 30 = 0 then concat('Horse Power: ', hp, ' HP') when ok % 30 = 10 then concat(hp, ' kW') else concat('Power ', hp, ' BHP') end",
+        "case when ok % 3 = 0 then concat('Horse Power: ', hp, ' HP') when ok % 3 = 1 then concat(hp, ' kW') else concat('Power ', hp, ' BHP') end",
         "'Financial Details'", "concat('Price: ₹', cost)",
-        "case when ok % 20 = 0 and lk > 0 then concat('Grand Total: Rs. ', lk, ',', lpad(cast(th as varchar(9)), 2, '0'), ',', lpad(cast(un as varchar(9)), 3, '0')) else concat('Grand Total: ', lk, '.', lpad(cast(th as varchar(9)), 2, '0'), ' Lakh') end",
+        "case when cast(floor(ok / 10) as bigint) % 2 = 0 and lk > 0 then concat('Grand Total: Rs. ', lk, ',', lpad(cast(th as varchar(9)), 2, '0'), ',', lpad(cast(un as varchar(9)), 3, '0')) else concat('Grand Total: ', lk, '.', lpad(cast(th as varchar(9)), 2, '0'), ' Lakh') end",
     ]
     y1 = "40 + cast(floor(idx / 2) as int) * 22 + cast((ok * idx) % 13 as int)" if jitter else "40 + idx * 30 + cast((ok * idx) % 7 as int)"
     return {
@@ -40,8 +40,8 @@ def blocks(d, jitter: bool = False) -> dict[str, str]:
 def truth(d) -> dict[str, str]:
     """invoice_truth: the header as ground truth, some of it missing or off, some documents left out."""
     return {"invoice_truth": """select concat('inv_', ok) as document_id, concat(nm, ' ', sfx) as dealer_name, concat(brand, ' ', mno) as model_name,
-        case when ok % 110 = 0 then hp * 1.1e0 else cast(hp as double) end as horse_power, case when ok % 70 = 0 then null else cast(cost as double) end as asset_cost,
-        cast(floor(ok / 10) as bigint) % 2 = 1 as signature_present, cast(floor(ok / 10) as bigint) % 3 = 1 as stamp_present from header where ok % 130 <> 0"""}
+        case when ok % 11 = 0 then hp * 1.1e0 else cast(hp as double) end as horse_power, case when ok % 7 = 0 then null else cast(cost as double) end as asset_cost,
+        cast(floor(ok / 10) as bigint) % 2 = 1 as signature_present, cast(floor(ok / 10) as bigint) % 3 = 1 as stamp_present from header where ok % 13 <> 0"""}
 
 
 def detections(d) -> dict[str, str]:
