@@ -7,9 +7,10 @@ a second step, so no window is cut. Tasks hand on a spanning forest of their ver
 passes gives the components. Links are then counted exactly inside each component, in blocks of vectors, so a group
 larger than any window keeps all its links.
 
-The number of passes follows from the largest label: a pair at the threshold shares each bit with probability
-1 - angle/180 and meets in a window once it shares log2(size / window) bits; passes are added until a pair is missed with
-probability `miss` at most.
+Vectors are hashed as unit vectors less the mean of their label, so that a common direction doesn't leave the bits one-sided. Passes and window follow
+from the data: two trial passes over all rows measure how many bits a vector shares with the one a window further, and its
+distance from the mean says how likely a pair at the threshold shares each bit. The window (of 1, 2, 4 or 8 times `window`) with the least cost
+is taken, with as many passes, MOST at most, as leave a pair at the threshold missed with probability `miss` in the mean over the vectors whose window isn't full of links.
 
 Cases: null labels, null ids, and vectors that are null, empty, zero or hold null or non-finite components link with
 nothing; vectors of different lengths never link; equal rows are vectors of their own with links between them; an empty
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, min_label_components
 
+WIDER = (1, 2, 4, 8)  # windows on trial, as multiples
+MOST = 512
 EDGE = "a long, b long, boundary long, pass int, label long, dim int, key binary, vec array<double>, m long"
 ROW = ["boundary", "pass", "label", "dim", "key", "a", "vec"]
 EDGE_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("boundary", pa.int64()), ("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int32()), ("key", pa.binary()), ("vec", pa.list_(pa.float64())), ("m", pa.int64())])
@@ -65,8 +68,31 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def means(classes: DataFrame) -> DataFrame:
+    """Rows (label, dim, n, mean): the number of classes and the mean of their unit vectors."""
+
+    def run(parts):
+        sums: dict = {}
+        for part in parts:
+            rows = pa.Table.from_batches([part])
+            for dim in np.unique(part.column("dim").to_numpy()) if part.num_rows else ():
+                some = rows.filter(pa.compute.equal(rows.column("dim"), int(dim))).combine_chunks()
+                x, labels = unit(matrix(some.column("vec").combine_chunks())), some.column("label").to_numpy()
+                for label in np.unique(labels):
+                    own = x[labels == label]
+                    n, total = sums.get((int(label), int(dim)), (0, 0.0))
+                    sums[int(label), int(dim)] = n + len(own), total + own.sum(0)
+        rows = [{"label": a, "dim": b, "at": k, "n": n, "total": float(t)} for (a, b), (n, total) in sums.items() for k, t in enumerate(total)]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("label", pa.int64()), ("dim", pa.int32()), ("at", pa.int32()), ("n", pa.int64()), ("total", pa.float64())]))
+
+    parts = classes.select("label", "dim", "vec").mapInArrow(run, "label long, dim int, at int, n long, total double")
+    each = parts.groupBy("label", "dim", "at").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("at", (F.col("total") / F.col("n")).alias("v")))), lambda x: x["v"])
+    return each.groupBy("label", "dim").agg(F.first("n").alias("n"), mean.alias("mean"))
+
+
 def add_keys(classes: DataFrame, passes: int, seed: int) -> DataFrame:
-    """A row for each class and pass: its key, of 8 bytes in big-endian order."""
+    """A row for each class (with n and mean of its label) and pass: its key, of 8 bytes in big-endian order; far is its distance from the mean."""
 
     def run(parts):
         for part in parts:
@@ -74,13 +100,73 @@ def add_keys(classes: DataFrame, passes: int, seed: int) -> DataFrame:
                 rows = part.filter(pa.compute.equal(part.column("dim"), int(dim)))
                 for at in range(0, rows.num_rows, 2000):
                     some = rows.slice(at, 2000)
-                    bits = matrix(some.column("vec")) @ hyperplanes(int(dim), passes, seed) > 0
+                    x = unit(matrix(some.column("vec"))) - matrix(some.column("mean"))
+                    far = pa.array(np.sqrt(np.einsum("ij,ij->i", x, x)))
+                    bits = x @ hyperplanes(int(dim), passes, seed) > 0
                     packed = np.packbits(bits, axis=1).reshape(some.num_rows, passes, 8)
                     for k in range(passes):
-                        keys = [x.tobytes() for x in packed[:, k]]
-                        yield pa.RecordBatch.from_arrays([some.column("a"), pa.array(np.full(some.num_rows, k, np.int32)), some.column("label"), some.column("dim"), pa.array(keys, pa.binary()), some.column("vec")], ["a", "pass", "label", "dim", "key", "vec"])
+                        keys = [b.tobytes() for b in packed[:, k]]
+                        yield pa.RecordBatch.from_arrays([some.column("a"), pa.array(np.full(some.num_rows, k, np.int32)), some.column("label"), some.column("dim"), pa.array(keys, pa.binary()), some.column("vec"), some.column("n"), far], ["a", "pass", "label", "dim", "key", "vec", "n", "far"])
+
+    return classes.select("a", "label", "dim", "vec", "n", "mean").mapInArrow(run, "a long, pass int, label long, dim int, key binary, vec array<double>, n long, far double")
+
+
+def shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading bits that 64-bit keys have in common."""
+    x, out = a ^ b, np.full(len(a), 64)
+    for k in range(63, -1, -1):
+        out[(x >> np.uint64(63 - k)) != 0] = k
+    return out
+
+
+def meeting(threshold: float, windows: list[int]):
+    """Over batches sorted by ROW[1:5]: rows (window, bin, n), how many rows have which probability to meet a partner at the threshold in a pass, as bins of its logarithm."""
+    chord = math.sqrt(2 - 2 * threshold)
+
+    def run(parts):
+        counts: dict = {}
+        tail = None
+        for part in parts:
+            rows = pa.Table.from_batches([part])
+            rows = pa.concat_tables([tail, rows]).combine_chunks() if tail is not None else rows
+            if not rows.num_rows:
+                continue
+            group = np.stack([rows.column(c).to_numpy() for c in ("pass", "label", "dim")], axis=1)
+            starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+            for lo, hi in zip(starts, [*starts[1:], rows.num_rows], strict=True):
+                some = rows.slice(lo, hi - lo)
+                keys = np.frombuffer(b"".join(some.column("key").to_pylist()), ">u8").astype(np.uint64)
+                x, far, size = unit(matrix(some.column("vec").combine_chunks())), some.column("far").to_numpy(), int(some.column("n")[0].as_py())
+                same_bit = 1 - np.minimum(np.pi / 2, 2 * np.arcsin(np.minimum(1, chord / np.maximum(1e-9, 2 * far)))) / np.pi
+                for w in windows:
+                    if size <= w + 1:
+                        counts[w, 0] = counts.get((w, 0), 0) + (hi - lo)
+                    elif hi - lo > w:
+                        open_ = np.einsum("ij,ij->i", x[:-w], x[w:]) < threshold
+                        bits = shared_bits(keys[:-w], keys[w:])[open_] + 1
+                        bins = np.minimum(400, np.floor(-np.log(same_bit[:-w][open_]) * bits * 20)).astype(int)
+                        for b, n in zip(*np.unique(bins, return_counts=True), strict=True):
+                            counts[w, int(b)] = counts.get((w, int(b)), 0) + int(n)
+            tail = rows.slice(max(starts[-1], rows.num_rows - max(windows)))
+        yield pa.RecordBatch.from_pylist([{"window": w, "bin": b, "n": n} for (w, b), n in counts.items()], pa.schema([("window", pa.int32()), ("bin", pa.int32()), ("n", pa.int64())]))
+
+    return run
+
 
-    return classes.select("a", "label", "dim", "vec").mapInArrow(run, "a long, pass int, label long, dim int, key binary, vec array<double>")
+def plan_passes(classes: DataFrame, largest: int, threshold: float, window: int, miss: float, seed: int) -> tuple[int, int]:
+    """(passes, window) of the least cost that keep the mean probability to miss a pair within `miss`."""
+    windows = [window * k for k in WIDER]
+    trial = add_keys(classes, 2, seed + 1).select(*ROW[1:], "n", "far")
+    trial = trial.repartitionByRange("pass", "label", "dim", "key", "a").sortWithinPartitions("pass", "label", "dim", "key", "a")
+    bins = trial.mapInArrow(meeting(threshold, windows), "window int, bin int, n long").groupBy("window", "bin").agg(F.sum("n").alias("n")).collect()
+    choices = []
+    for w in windows:
+        own = [(math.exp(-(r["bin"] + 0.5) / 20) if r["bin"] else 1.0, r["n"]) for r in bins if r["window"] == w]
+        total, passes = sum(n for _, n in own), passes_needed(largest, threshold, w, miss)
+        while passes < MOST and sum(n * (1 - q) ** passes for q, n in own) > miss * total:
+            passes += 1
+        choices.append((passes * (18 + 0.04 * w), passes, w))  # measured: microseconds a row and pass
+    return min(choices)[1:]
 
 
 def window_links(threshold: float, window: int, ends: bool):
@@ -167,8 +253,9 @@ def near_duplicates(
         .agg(F.min("vec_id").alias("a"), F.count("*").alias("m"), F.first("vec").alias("vec")).withColumn("dim", F.size("vec"))
     )
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    passes = passes_needed(largest, threshold, window, miss)
-    keyed = add_keys(classes, passes, seed).withColumn("boundary", F.lit(0).cast("long")).select(*ROW)
+    centred = classes.join(cut(means(classes)), ["label", "dim"])
+    passes, window = plan_passes(centred, largest, threshold, window, miss, seed)
+    keyed = add_keys(centred, passes, seed).withColumn("boundary", F.lit(0).cast("long")).select(*ROW)
     ordered = keyed.repartitionByRange("pass", "label", "dim", "key", "a").sortWithinPartitions("pass", "label", "dim", "key", "a")
     found = cut(ordered.mapInArrow(window_links(threshold, window, True), EDGE))
     ends = found.filter("boundary is not null").select(*ROW).repartition("boundary").sortWithinPartitions("boundary", "pass", "label", "dim", "key", "a")

@@ -186,6 +186,19 @@ def test_vectors_equal_brute_force(spark):
     assert sorted(map(str, map(tuple, op10_near_vectors(spark, SF).collect()))) == sorted(map(str, con.execute(vectors.SQL).fetchall()))
 
 
+def test_pairs_among_correlated_vectors_are_found(spark):
+    rng = np.random.default_rng(3)
+    x = math.sqrt(0.7) * np.eye(64)[0] + math.sqrt(0.3 / 63) * np.c_[np.zeros(3000), rng.standard_normal((3000, 63))]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    turn = rng.standard_normal((600, 64))
+    turn -= (turn * x[:600]).sum(1)[:, None] * x[:600]
+    turn /= np.linalg.norm(turn, axis=1)[:, None]
+    x[1000:1600] = 0.935 * x[:600] + math.sqrt(1 - 0.935**2) * turn
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in vectors.near_duplicates(frame).collect()}
+    assert sum(got[i] == got[1000 + i] for i in range(600)) >= 0.99 * 600
+
+
 def test_classifiers_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
