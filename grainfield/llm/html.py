@@ -34,10 +34,10 @@ CLOSED_BY = {
     "p": BLOCK - {"br", "body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr", "tbody", "tfoot"},
     "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option", "optgroup"}, "head": {"body"},
 }
-# Class and id words of parts that are not the article.
+# Whole class or id tokens that hint at parts that are not the article; what a part holds can overrule them.
 NOISE = re.compile(
-    r"(?<![a-z0-9])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|consent|disclaimer|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notice|notices|popup|promo|promoted|recommended|related|replies|reply|respond|share|sharing|sidebar|side-bar|social|sponsor|sponsored|subscribe|toolbar|widget)(?![a-z0-9])"
+    r"(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|consent|disclaimer|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
+    r"notice|notices|popup|promo|promoted|recommended|related|replies|reply|respond|share|sharing|sidebar|side-bar|social|sponsor|sponsored|subscribe|toolbar|widget)"
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
@@ -112,13 +112,46 @@ def _is_noise(node: Node, inside_article: bool) -> bool:
     if node.attributes and node.tag not in ("html", "body", "article", "main"):
         for name, *values in ATTRIBUTE.findall(node.attributes):
             name, value = name.lower(), "".join(values).lower()
-            if name in ("class", "id") and NOISE.search(value):
-                return True
             if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 return True
     return False
 
 
+def _is_hinted(node: Node) -> bool:
+    if not node.attributes or node.tag in ("html", "body", "article", "main"):
+        return False
+    return any(name.lower() in ("class", "id") and any(NOISE.fullmatch(t) for t in "".join(values).lower().split()) for name, *values in ATTRIBUTE.findall(node.attributes))
+
+
+def _drop_hinted(nodes: list[Node]) -> None:
+    """Drops parts that their class or id hints at, unless they hold a first-level heading, or most of the page's text outside links; where there
+    is an article or main element, only parts around or inside it can hold most of it."""
+    plain: dict[int, int] = {}
+    heads: set[int] = set()
+    marked: set[int] = set()
+    for node in reversed(nodes):
+        n = 0
+        for child in node.children:
+            if isinstance(child, str):
+                n += len("".join(child.split()))
+            elif not child.dropped:
+                n += plain[id(child)] if child.tag != "a" else 0
+                if child.tag == "h1" or id(child) in heads:
+                    heads.add(id(node))
+                if id(child) in marked:
+                    marked.add(id(node))
+        plain[id(node)] = n
+        if n and not node.dropped and node.tag in ("article", "main"):
+            marked.add(id(node))
+    whole, is_marked, inside = plain[id(nodes[0])], bool(marked), set()
+    for node in nodes:
+        if id(node) in marked and node.tag in ("article", "main") or node.parent is not None and id(node.parent) in inside:
+            inside.add(id(node))
+        above = node.parent is not None and node.parent.dropped
+        keeps = node.tag == "h1" or id(node) in heads or 2 * plain[id(node)] > whole and (not is_marked or id(node) in marked or id(node) in inside)
+        node.dropped = node.dropped or above or not keeps and _is_hinted(node)
+
+
 def walk(root: Node) -> list[Node]:
     """All nodes, parents before children."""
     out, todo = [], [root]
@@ -137,6 +170,7 @@ def measure(root: Node) -> Node:
         above = node.parent is not None and article[id(node.parent)]
         article[id(node)] = above or node.tag in ("article", "main")
         node.dropped = node.parent is not None and (node.parent.dropped or _is_noise(node, above))
+    _drop_hinted(nodes)
     for node in reversed(nodes):
         if node.dropped:
             continue

@@ -101,6 +101,12 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["elementor-widget", "content has-sidebar", "no-sidebar", "widget"])
+def test_class_words_do_not_drop_the_article(name):
+    page = f"<body><div class='{name}'><article><h1 class='entry-header'>T</h1>{PARAGRAPH}<div class=post-share><p>A section on shares.</p></div></article></div><div class=sidebar>s</div></body>"
+    assert html.main_text(page) == f"T\n{PLAIN}\nA section on shares."
+
+
 def test_pages(spark):
     from html import unescape
 
