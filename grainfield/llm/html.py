@@ -2,8 +2,8 @@
 
 A small tolerant parser builds the tree of a page. Every node gets its composite density: characters per tag below it,
 lowered where much of the text is link text, with the page's ratio of link to other text as the scale. The density sum of a node
-adds the densities of its children; the node with the largest density sum is the main subtree, and the least density on
-the path from it up to the body is the threshold below which parts of it are dropped. Navigation, headers, footers,
+adds the densities of its children; the least density on the path from the node with the largest density sum up to the body is the threshold.
+The article or main element around that node, or else the body, is kept without parts that are below the threshold and mostly links. Navigation, headers, footers,
 sidebars, forms, scripts, notices, adverts and comment sections are never text.
 
 Text comes in blocks in page order, white space inside a block being one space; a block element or a line break in the markup
@@ -197,20 +197,16 @@ def measure(root: Node) -> Node:
 
 
 def main_node(body: Node) -> Node:
-    """The subtree of the largest density sum. Nodes that only wrap it, or sit inside its paragraphs, don't count: the smallest article
-    or main element around it stands for it, and otherwise the nearest block whose sum holds all of it."""
+    """The node of the largest density sum."""
     live = [n for n in walk(body) if not n.dropped and n.chars]
-    if not live:
-        return body
-    best = max(live, key=lambda n: n.sum)
-    up = best
-    while up is not body and up.parent is not None:
-        if up.tag in ("article", "main"):
-            return up
-        up = up.parent
-    while best.tag in INLINE_FORMAT or best.tag in ("p", "li", "h1", "h2", "h3", "pre", "blockquote") and best is not body:
-        best = best.parent
-    return best
+    return max(live, key=lambda n: n.sum) if live else body
+
+
+def scope(node: Node, body: Node) -> Node:
+    """The smallest article or main element around a node; the body where there is none, so that its siblings count too."""
+    while node is not body and node.parent is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node
 
 
 def path_threshold(node: Node, body: Node) -> float:
@@ -255,7 +251,7 @@ def main_text(html: str | None) -> str:
         return ""
     body = measure(parse(html.replace("\0", "")))
     node = main_node(body)
-    return "\n".join(blocks_of(node, path_threshold(node, body)))
+    return "\n".join(blocks_of(scope(node, body), path_threshold(node, body)))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

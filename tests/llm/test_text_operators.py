@@ -107,6 +107,13 @@ def test_class_words_do_not_drop_the_article(name):
     assert html.main_text(page) == f"T\n{PLAIN}\nA section on shares."
 
 
+def test_text_beside_the_densest_container_is_kept():
+    first, second = ([f"{w} " * 60 + f"{i}." for i in range(5)] for w in ("one", "two"))
+    sections = "".join("<section>" + "".join(f"<p>{t}</p>" for t in texts) + "</section>" for texts in (first, second))
+    links = "<ul>" + "".join(f"<li><a href=x>link {i}</a></li>" for i in range(9)) + "</ul>"
+    assert html.main_text(f"<body><h1>T</h1><p>A lead.</p><div>{sections}</div>{links}</body>") == "\n".join(["T", "A lead.", *first, *second])
+
+
 def test_pages(spark):
     from html import unescape
 
