@@ -7,7 +7,7 @@ sample's vectors, labels and projection have a fixed bound (`rows` x `rank`) and
 cosines with all of them are computed exactly, in blocks, and its nearest neighbours vote by their similarity.
 
 Cases: null and empty texts have the terms of length 0 and are scored like any; without labelled rows nothing is known against any text and every score is 1; texts of
-any length are scored whole; equal texts get equal scores; ties among neighbours at the k-th place go by sample order.
+any length are scored whole, words of over 64 characters as consecutive pieces; equal texts get equal scores; ties among neighbours at the k-th place go by sample order.
 """
 
 from __future__ import annotations
@@ -27,11 +27,20 @@ from .labelled import labelled_sample
 TERMS = 2048
 SHAPES = 512
 RUN = re.compile(r"(.)\1+")
+LONGEST = 64  # longer words, as in scripts without spaces, count as several of this length
+
+
+def pieces(text: str) -> list[str]:
+    """Words of a text; long ones in consecutive pieces, none left out."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
 
 
 def shape(word: str) -> int:
     """Number of a word's shape: letters, case, digits and marks, with runs shortened."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c if ord(c) < 128 else "*" for c in word[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c if ord(c) < 128 else "*" for c in word)
     return zlib.crc32(RUN.sub(r"\1\1", kinds).encode()) % SHAPES
 
 
@@ -43,7 +52,7 @@ def term_counts(texts: list[str], memo: Memo) -> np.ndarray:
         flat: list[int] = []
         sizes, distinct = [], []
         for text in texts[a:b]:
-            words = text.split()
+            words = pieces(text)
             own = [numbers.setdefault(w, len(numbers)) for w in words]
             flat += own
             sizes.append(len(own))

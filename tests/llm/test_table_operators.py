@@ -208,6 +208,14 @@ def test_classifiers_on_held_out_rows(spark):
     assert sum(r["predicted"] == r["quality"] for r in qual) >= 0.95 * len(qual)
 
 
+def test_quality_terms_see_all_of_a_long_word():
+    memo = quality.Memo(quality.shape, 1000)
+    start = "aB9-" * 16
+    a, b, c = quality.term_counts([start + "x" * 20_000, start + "aB9-" * 5000, start], memo)
+    assert (a != b).any() and (a != c).any() and (b != c).any()
+    assert "".join(quality.pieces(start + "x" * 100)) == start + "x" * 100
+
+
 def test_classifiers_on_odd_rows(spark):
     docs = spark.createDataFrame([(None, None, None, 1), (1, "", "xx", 2), (1, "", "xx", 2), (2, "word " * 50000, "en", 3)], "doc_id long, text string, lang string, toxicity int")
     labels = spark.createDataFrame([(None, 1, 1), (1, None, None), (2, 1, 0)], "doc_id long, quality int, toxic int")
