@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -91,7 +92,7 @@ def unpack(blob: bytes, width: int = BITS // 8) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
-def documents_in(parts, limit: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def documents_in(parts, limit: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches (doc_id, text, ...) of bounded text."""
     for part in parts:
         texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
@@ -151,6 +152,13 @@ class SetTable:
         self.spark.sql(f"drop table if exists {self.name}")
 
 
+def each_row(parts) -> Iterator[dict]:
+    """Rows one by one, so that large values aren't held twice."""
+    for part in parts:
+        for i in range(part.num_rows):
+            yield part.slice(i, 1).to_pylist()[0]
+
+
 def own_digests(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """(digests of a chunk's representatives in turn, number in the chunk of the document of each)."""
     n = np.array(row["n"])
@@ -172,15 +180,14 @@ def frequency_codes(sets: SetTable, reps: DataFrame) -> DataFrame:
 
     def send(parts):
         zstd = zstandard.ZstdCompressor(level=1)
-        for part in parts:
-            for row in part.to_pylist():
-                u, c = np.unique(own_digests(row)[0], return_counts=True)
-                bucket = (u >> np.uint64(BITS - bits)).astype(np.int64)
-                starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                ends = np.r_[starts[1:], len(u)]
-                many = [zstd.compress(c[a:b].astype("<u4").tobytes()) if c[a:b].max() > 1 else None for a, b in zip(starts, ends, strict=True)]
-                k = len(starts)
-                yield pa.record_batch([pa.array(bucket[starts]), pa.array([row["part"]] * k, pa.int64()), pa.array([row["seq"]] * k, pa.int32()), pa.array([pack(u[a:b] & lower, width) for a, b in zip(starts, ends, strict=True)], pa.binary()), pa.array(many, pa.binary())], ["bucket", "part", "seq", "digests", "counts"])
+        for row in each_row(parts):
+            u, c = np.unique(own_digests(row)[0], return_counts=True)
+            bucket = (u >> np.uint64(BITS - bits)).astype(np.int64)
+            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            ends = np.r_[starts[1:], len(u)]
+            many = [zstd.compress(c[a:b].astype("<u4").tobytes()) if c[a:b].max() > 1 else None for a, b in zip(starts, ends, strict=True)]
+            k = len(starts)
+            yield pa.record_batch([pa.array(bucket[starts]), pa.array([row["part"]] * k, pa.int64()), pa.array([row["seq"]] * k, pa.int32()), pa.array([pack(u[a:b] & lower, width) for a, b in zip(starts, ends, strict=True)], pa.binary()), pa.array(many, pa.binary())], ["bucket", "part", "seq", "digests", "counts"])
 
     def count(rows: list[dict]):
         zip_, unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
@@ -229,28 +236,27 @@ def postings(sets: SetTable, reps: DataFrame, num: int, den: int) -> DataFrame:
 
     def run(parts):
         unzip = zstandard.ZstdDecompressor()
-        for part in parts:
-            for row in part.to_pylist():
-                h, doc = own_digests(row)
-                known = b"".join(unzip.decompress(x["codes"]) for x in sorted(row["v1"], key=lambda x: x["bucket"]))
-                codes = np.frombuffer(known, np.uint8)[np.unique(h, return_inverse=True)[1]]
-                n = np.bincount(doc, minlength=len(row["n"]))
-                room = prefix_sizes(n, num, den) - np.bincount(doc, weights=codes == 1, minlength=len(n)).astype(np.int64)
-                some = (codes > 1) & (room > 0)[doc]
-                d, own, c = doc[some], h[some], codes[some]
-                if not len(d):
-                    continue
-                docs, begins, sizes = np.unique(d, return_index=True, return_counts=True)
-                take = np.minimum(room[docs], sizes)
-                kept = np.arange(len(d)) - np.repeat(begins, sizes) < np.repeat(take, sizes)
-                prefixes = [own[np.lexsort((order_keys(own, c, order), d))][kept] for order in range(len(SALTS))]
-                ends = np.r_[0, np.cumsum(take)]
-                values = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefixes[0].view(np.int64)))
-                marks = [(p >> np.uint64(30)).astype("<u2") for p in prefixes[1:]]
-                blobs = [b"".join(m[i:j].tobytes() for m in marks) for i, j in zip(ends[:-1], ends[1:], strict=True)]
-                at = np.searchsorted(doc, docs)
-                packed = [pack(h[a : a + k]) for a, k in zip(at, n[docs], strict=True)]
-                yield pa.record_batch([pa.array([row["ids"][i] for i in docs], pa.int64()), pa.array(n[docs].astype(np.int64)), values, pa.array(blobs, pa.binary()), pa.array(packed, pa.binary())], ["doc", "n", "prefix", "marks", "digests"])
+        for row in each_row(parts):
+            h, doc = own_digests(row)
+            known = b"".join(unzip.decompress(x["codes"]) for x in sorted(row["v1"], key=lambda x: x["bucket"]))
+            codes = np.frombuffer(known, np.uint8)[np.unique(h, return_inverse=True)[1]]
+            n = np.bincount(doc, minlength=len(row["n"]))
+            room = prefix_sizes(n, num, den) - np.bincount(doc, weights=codes == 1, minlength=len(n)).astype(np.int64)
+            some = (codes > 1) & (room > 0)[doc]
+            d, own, c = doc[some], h[some], codes[some]
+            if not len(d):
+                continue
+            docs, begins, sizes = np.unique(d, return_index=True, return_counts=True)
+            take = np.minimum(room[docs], sizes)
+            kept = np.arange(len(d)) - np.repeat(begins, sizes) < np.repeat(take, sizes)
+            prefixes = [own[np.lexsort((order_keys(own, c, order), d))][kept] for order in range(len(SALTS))]
+            ends = np.r_[0, np.cumsum(take)]
+            values = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefixes[0].view(np.int64)))
+            marks = [(p >> np.uint64(30)).astype("<u2") for p in prefixes[1:]]
+            blobs = [b"".join(m[i:j].tobytes() for m in marks) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            at = np.searchsorted(doc, docs)
+            packed = [pack(h[a : a + k]) for a, k in zip(at, n[docs], strict=True)]
+            yield pa.record_batch([pa.array([row["ids"][i] for i in docs], pa.int64()), pa.array(n[docs].astype(np.int64)), values, pa.array(blobs, pa.binary()), pa.array(packed, pa.binary())], ["doc", "n", "prefix", "marks", "digests"])
 
     known = sets.joined(reps.select("part", "seq", "at"), frequency_codes(sets, reps))
     return known.select("ids", "n", "digests", "v0", "v1").mapInArrow(run, "doc long, n long, prefix array<long>, marks binary, digests binary")
@@ -372,8 +378,25 @@ def posting_lists(entries: DataFrame) -> DataFrame:
     return each.join(lists.select("token", "m", "words", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "token")
 
 
+@contextmanager
+def small_batches(spark, size: str = "8m") -> Iterator[None]:
+    """Arrow batches of `size` for the jobs that run inside, as their rows are large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for every row of `docs(doc_id, text)`; links are similarities of num/den or more."""
+    with small_batches(docs.sparkSession):
+        return _components(docs, width, num, den)
+
+
+def _components(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     sets = SetTable(docs, width)
     nodes = cut(sets.documents())
     classes = nodes.filter("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(F.min(F.struct("doc_id", "part", "seq", "at")).alias("r"))
