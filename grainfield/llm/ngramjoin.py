@@ -92,7 +92,7 @@ def unpack(blob: bytes, width: int = BITS // 8) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
-def documents_in(parts, limit: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def documents_in(parts, limit: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches (doc_id, text, ...) of bounded text."""
     for part in parts:
         texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
@@ -126,7 +126,7 @@ class SetTable:
         self.spark = docs.sparkSession
         self.path, self.name = fresh_dir(self.spark, "sets"), f"grainfield_sets_{uuid.uuid4().hex}"
         chunks = docs.select("doc_id", "text").mapInArrow(run, "part long, seq int, ids array<long>, n array<long>, f0 array<long>, f1 array<long>, digests binary")
-        chunks.write.bucketBy(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "part").option("path", self.path).saveAsTable(self.name)
+        chunks.write.option("compression", "uncompressed").bucketBy(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "part").option("path", self.path).saveAsTable(self.name)
         discard_at_exit(self.spark, self.path)
         self.rows = self.spark.table(self.name)
 
@@ -379,7 +379,7 @@ def posting_lists(entries: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark, size: str = "8m") -> Iterator[None]:
+def small_batches(spark, size: str = "4m") -> Iterator[None]:
     """Arrow batches of `size` for the jobs that run inside, as their rows are large."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
