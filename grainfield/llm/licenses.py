@@ -2,8 +2,12 @@
 parser evaluates the and/or/with expressions that follow a tag.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and non-ASCII characters; a phrase is found wherever its
-words stand consecutively, whatever stands between them. Null and empty texts have no words, no labels and score 0.
-Labels are joined by commas, distinct and sorted. Whole texts are scanned; equal rows get equal results.
+words stand consecutively, whatever stands between them. The expression of a tag is the longest well-formed one right behind it,
+up to the end of the line or the next tag; what can't be an identifier ends it, as do marks at the end of a word.
+
+Cases: null and empty texts have no words, no labels and score 0; labels are joined by commas, distinct and sorted; repeated phrases count
+at each place; null ids and repeated rows are scanned like any, and equal rows get equal results; an empty table gives no rows; other
+columns are ignored, whatever their names. Whole texts of any length are scanned, in time that follows their length.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import re
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,13 +32,18 @@ MORE_PHRASES = {
     "public domain": "public-domain",
 }
 TAG = "spdx license identifier"
-PERMISSIVE = ("0bsd", "apache", "bsd", "cc-by-", "cc0", "isc", "mit", "public-domain", "unlicense", "zlib")
+PERMISSIVE = ("0bsd", "apache", "bsd", "cc-by", "cc0", "isc", "mit", "public-domain", "unlicense", "zlib")
 RESTRICTED = ("cc-by-nc", "cc-by-nd", "cc-by-sa")
+FAMILIES = frozenset(
+    "0bsd afl agpl apache artistic beerware blessing bsd bsl bzip2 cc cc0 cddl cecill cpl curl epl eupl ftl gfdl gpl ijg intel ipl isc lgpl libpng lppl mit mpl ms mulanpsl ncsa "
+    "nist odbl ofl openldap openssl osl php postgresql psf python qpl ruby sleepycat tcl ucl unicode unlicense upl vim w3c wtfpl x11 zlib zpl".split()
+)
 WEIGHTS = {"tag": 0.9, "base": 0.7, "more": 0.4}
 
 WORD_BYTES = bytes((b | 0x20) if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-TAG_LINE = re.compile(rb"spdx[^a-z0-9\x80-\xff]+license[^a-z0-9\x80-\xff]+identifier[ \t]*:?[ \t]*([^\n\r]*)")
-SYMBOL = re.compile(rb"[()]|[a-z0-9][a-z0-9.+-]*")
+TAG_START = re.compile(rb"(?<![a-z0-9\x80-\xff])spdx[^a-z0-9\x80-\xff]+license[^a-z0-9\x80-\xff]+identifier(?![a-z0-9\x80-\xff])[ \t]*:?")
+LINE_END = re.compile(rb"[\n\r]")
+SYMBOL = re.compile(rb"[ \t]*(?:([()])|([a-z0-9][a-z0-9.+:-]*))")
 BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -85,6 +95,31 @@ def to_postfix(symbols: list[str]) -> list[str]:
     return good
 
 
+def is_identifier(symbol: str) -> bool:
+    """Whether a symbol can name a licence or an exception: of a known family, a reference of its own, or with a version behind a hyphen."""
+    return symbol.split("-")[0].rstrip("+") in FAMILIES or symbol.startswith(("licenseref-", "documentref-")) or symbol.endswith("-exception") or re.search(r"-v?\d", symbol) is not None
+
+
+def expressions(text: bytes) -> list[list[str]]:
+    """The symbols behind each identifier tag of a text in lower case, up to the first that can't belong to an expression."""
+    found = []
+    tags = list(TAG_START.finditer(text))
+    for tag, after in zip(tags, [*tags[1:], None], strict=True):
+        stop = after.start() if after else len(text)
+        line = LINE_END.search(text, tag.end(), stop)
+        at, stop, symbols = tag.end(), line.start() if line else stop, []
+        while (m := SYMBOL.match(text, at, stop)) is not None:
+            symbol = (m[1] or m[2].rstrip(b".:-")).decode()
+            if not (m[1] or symbol in BINDS or is_identifier(symbol)):
+                break
+            symbols.append(symbol)
+            at = m.end()
+            if m[2] and len(symbol) < len(m[2]):  # a mark at the end of the word ends the expression
+                break
+        found.append(symbols)
+    return found
+
+
 def permits(label: str) -> bool:
     return label.startswith(PERMISSIVE) and not label.startswith(RESTRICTED)
 
@@ -110,9 +145,11 @@ def scan(text: bytes, finder: ahocorasick.Automaton) -> tuple:
     plain = (b" " + b" ".join(words) + b" ").decode("latin-1")
     places, base, labels, missed, tagged = [], set(), set(), 1.0, False
     free: bool | None = None
+    gaps = None
     for end, (length, label, kind) in finder.iter(plain):
         if kind == "base":
-            places.append(plain.count(" ", 0, end - length))
+            gaps = np.flatnonzero(np.frombuffer(plain.encode("latin-1"), np.uint8) == 0x20) if gaps is None else gaps
+            places.append(int(np.searchsorted(gaps, end - length)))
             base.add(label)
         if kind == "tag":
             tagged = True
@@ -121,8 +158,8 @@ def scan(text: bytes, finder: ahocorasick.Automaton) -> tuple:
         missed *= 1 - WEIGHTS[kind]
         free = permits(label) if free is None else free and permits(label)
     if tagged:
-        for line in TAG_LINE.findall(text.translate(LOWER)):
-            named, granted = evaluate(to_postfix([s.decode() for s in SYMBOL.findall(line)]))
+        for symbols in expressions(text.translate(LOWER)):
+            named, granted = evaluate(to_postfix(symbols))
             labels.update(named)
             if named:
                 missed *= 1 - WEIGHTS["tag"]
@@ -137,7 +174,7 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base",
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """A row for each row of `docs(doc_id, text)`: counts and places of base phrases, labels, an evidence score from 0 to 1
     (notices and tags combined as independent), and whether the licences found permit free use (null without any).
-    Labels of expressions come from the rest of the tag's line. An empty table gives no rows."""
+    Cases as above."""
 
     def run(parts):
         finder = automaton({**BASE_PHRASES, **MORE_PHRASES, TAG: ""})
