@@ -6,8 +6,12 @@ table: for every frame before it the compressed size, the decompressed size and
 over the decompressed bytes), then the number of frames, a flag byte and a magic number. Any reader of the seekable
 zstandard format can open it; a reader of one document seeks to its frame and decompresses that alone.
 
-Files are written by ascending document id (null first, equal ids in any order), each under a name of its own and then
-moved into place, so a task that runs again leaves the same file. Null and empty texts hold the end id alone.
+Files are written by ascending document id (null first, equal ids by a hash of their text, so that many of them are not one task's),
+each under a name of its own and then moved into place, so a task that runs again leaves the same file.
+
+Cases: null and empty texts hold the end id alone; texts of any length are one frame; rows that share an id, and repeated rows, are documents of
+their own; strings of added tokens in a text are those tokens, as in the library; an empty table gives no files and no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -102,18 +106,31 @@ _encoders: dict = {}
 
 
 class WordEncoder:
-    """Packed ids of texts under a tokenizer that drops white space, so words split at ASCII white space are encoded once each."""
+    """Packed ids of texts under a tokenizer that drops white space, so words split at ASCII white space are encoded once each.
+
+    The library finds strings of added tokens in a text before it lower-cases; words that may hold one are encoded as they stand.
+    """
 
     def __init__(self, definition: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(len(a.split()) != 1 for a in self.added):
+            raise ValueError("an added token holds white space, so texts can't be split at it")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.limit, self.known = limit, {}
 
+    def split(self, text: bytes) -> list[bytes]:
+        """Words in lower case, as the tokenizer has them anyway."""
+        low = text.lower()
+        words = low.split()
+        if any(a in low for a in self.added):
+            words = [as_is if any(a in w for a in self.added) else w for as_is, w in zip(text.split(), words, strict=True)]
+        return words
+
     def packed(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [t.lower().split() for t in texts]  # the tokenizer lower-cases anyway
+        words = [self.split(t) for t in texts]
         known = self.known
         if len(known) > self.limit:
             known.clear()
@@ -178,7 +195,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, out_dir: str
             store.move(draft, final)
             yield pa.RecordBatch.from_pylist([{"file_no": no, "file": f"{no:08d}.tokens", "n_docs": len(writer.docs), "n_tokens": sum(writer.counts)}], pa.schema([("file_no", pa.int64()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    keys = "doc_id", "h"
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h")).repartitionByRange(*keys).sortWithinPartitions(*keys)
     files = cut(ordered.mapInArrow(run, "file_no long, file string, n_docs long, n_tokens long"))
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file, not for each document
     return files.select("file_no", F.concat(F.lit(out_dir + "/"), "file").alias("file"), "n_docs", "n_tokens", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
