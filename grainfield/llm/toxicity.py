@@ -1,14 +1,15 @@
 """Toxicity by a convolutional text classifier over hashed word embeddings, trained in numpy.
 
 A word's embedding is the row of a table that its hash picks. Rows of words that few training documents hold stay zero; the
-others start from the log odds of their classes, and noise. Filters of widths 1, 2 and 3 run over the whole text, each
-keeps its maximum, and a logistic layer turns the maxima into a score. Training takes a documented, bounded sample of labelled documents (`rows` of each class), on the driver; the trained tables have a fixed size and go out
+others start from the log odds of their classes, and noise. Filters of widths 1, 2 and 3 run over the whole text and never into
+its neighbours in a batch, each keeps its maximum, and a logistic layer turns the maxima into a score. Training takes a documented, bounded sample of labelled documents (`rows` of each class), on the driver; the trained tables have a fixed size and go out
 as a broadcast. For each language a threshold is calibrated on a part of the sample that training never sees; it decides
 `rejected`, while the score itself never sees language, source, id or label.
 
 Cases: null and empty texts are padding only and get the score of nothing; languages with few calibration rows, and null ones,
 take the threshold over all languages; without labelled rows of both classes every score is 0; texts of any length
-are scored whole; equal texts get equal scores.
+are scored whole; equal texts get equal scores, whatever stands beside them; null ids and repeated rows are scored like any;
+an empty table gives no rows; other columns pass through, but for ones named toxicity or rejected, which are replaced.
 """
 
 from __future__ import annotations
@@ -38,11 +39,11 @@ def word_bucket(word: str) -> int:
 
 
 def tokens(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets of the distinct words, word number of each position, first position of each text). Texts are kept apart by padding, word 0."""
+    """(buckets of the distinct words, word number of each position, first position of each text). Each text ends in padding, word 0."""
     numbers: dict[str, int] = {"": 0}
     flat: list[int] = []
     starts = []
-    pad = [0] * (max(WIDTHS) - 1)
+    pad = [0] * max(WIDTHS)
     for text in texts:
         starts.append(len(flat))
         flat.extend([numbers.setdefault(w, len(numbers)) for w in WORD.findall(text.lower())])
@@ -51,6 +52,12 @@ def tokens(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray, np.nda
     return buckets, np.array(flat, dtype=np.int64), np.array(starts, dtype=np.int64)
 
 
+def outside(starts: np.ndarray, n: int) -> np.ndarray:
+    """Positions whose windows could reach into the next text: all of the padding but its first."""
+    ends = np.r_[starts[1:], n]
+    return np.concatenate([ends - k for k in range(1, max(WIDTHS))])
+
+
 class ConvNet:
     def __init__(self, dim: int = 12, filters: int = 8, seed: int = 5):
         rng = np.random.default_rng(seed)
@@ -90,6 +97,7 @@ class ConvNet:
                 maxima, tops = [], []
                 for w in WIDTHS:
                     h = sum(x[j : j + n] @ self.filters[w][j] for j in range(w)) + self.bias[w]
+                    h[outside(starts, n)] = -np.inf
                     top = np.maximum.reduceat(h, starts, axis=0)
                     at = np.empty(top.shape, np.int64)
                     for f in range(h.shape[1]):
@@ -157,6 +165,7 @@ def score_texts(net: dict, texts: list[str], memo: Memo) -> np.ndarray:
             for j in range(1, w):
                 h[: n - j] += per_word[:, (col + j) * f : (col + j + 1) * f][flat[j:]]
             col += w
+            h[outside(starts, n)] = -np.inf
             maxima.append(np.maximum.reduceat(h, starts, axis=0))
         z = np.maximum(np.concatenate(maxima, axis=1) + net["bias"], 0)
         scores[a:b] = 1 / (1 + np.exp(-np.clip(z.astype(np.float64) @ net["out"].astype(np.float64) + float(net["offset"]), -30, 30)))
