@@ -7,14 +7,18 @@ The article or main element around that node, or else the body, is kept without
 sidebars, forms, scripts, notices, adverts and comment sections are never text.
 
 Text comes in blocks in page order, white space inside a block being one space; a block element or a line break in the markup
-ends a block, inline elements don't. Cases: null or empty html, and pages without text, give the empty string; unclosed,
-misnested and unknown tags, and broken references, are kept as browsers would; nothing is truncated; equal rows give equal texts.
+ends a block, inline elements don't. The parser's time follows the length of a page, however its tags nest.
+
+Cases: null or empty html, and pages without text, give the empty string; unclosed, misnested and unknown tags, and broken
+references, are kept as browsers would; nothing is truncated; null ids and urls stay null; equal and repeated rows give equal texts;
+an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -35,13 +39,14 @@ CLOSED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option", "optgroup"}, "head": {"body"},
 }
 # Whole class or id tokens that hint at parts that are not the article; what a part holds can overrule them.
-NOISE = re.compile(
-    r"(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|consent|disclaimer|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notice|notices|popup|promo|promoted|recommended|related|replies|reply|respond|share|sharing|sidebar|side-bar|social|sponsor|sponsored|subscribe|toolbar|widget)"
+HINTS = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus footer gdpr masthead menu modal nav navbar navigation "
+    "newsletter notice notices popup promo promoted replies share sharing sidebar side-bar social sponsor sponsored subscribe".split()
 )
+WEAK_HINTS = frozenset("header recommended related reply respond toolbar widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"']+)))?")
 
 
 class Node:
@@ -54,20 +59,66 @@ class Node:
         self.dropped = False
 
 
+class Open:
+    """The open elements of a parse. Each step costs as much as the elements it closes, however deep they nest."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.names = [root], Counter([root.tag])
+        self.endable = [-1]  # for each, the nearest element up through inline ones whose end tag may be left out
+
+    @property
+    def here(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.endable.append(at if node.tag in CLOSED_BY else self.endable[-1] if node.tag in INLINE_FORMAT else -1)
+        self.nodes.append(node)
+        self.names[node.tag] += 1
+
+    def close(self, at: int) -> None:
+        """Close the element at a place, and all inside it."""
+        for node in self.nodes[at:]:
+            self.names[node.tag] -= 1
+        del self.nodes[at:], self.endable[at:]
+
+    def end(self, tag: str) -> bool:
+        """An end tag: closes the innermost element of its name; body and html stay open for all but their own."""
+        if not self.names[tag]:
+            return False
+        at = len(self.nodes) - 1
+        while self.nodes[at].tag != tag:
+            if self.nodes[at].tag in ("body", "html") and tag not in ("body", "html"):
+                return False
+            at -= 1
+        self.close(at)
+        return True
+
+    def make_room(self, tag: str) -> None:
+        """A start tag: closes the elements that it ends, through open inline ones. Few kinds can stand in one such chain."""
+        at = self.endable[-1]
+        while at >= 0:
+            if tag in CLOSED_BY[self.nodes[at].tag]:
+                self.close(at)
+                at = self.endable[-1]
+            else:
+                at = self.endable[at - 1]
+
+
 def parse(html: str) -> Node:
     """The tree of a page; text children are strings, with references decoded."""
     root = Node("#root", "", None)
-    at, here = 0, root
+    at, open_ = 0, Open(root)
     while at < len(html):
         lt = html.find("<", at)
         if lt < 0:
-            here.children.append(unescape(html[at:]))
+            open_.here.children.append(unescape(html[at:]))
             break
         found = TOKEN.match(html, lt)
         if lt > at:
-            here.children.append(unescape(html[at:lt]))
+            open_.here.children.append(unescape(html[at:lt]))
         if found is None:  # a lone "<" is text
-            here.children.append("<")
+            open_.here.children.append("<")
             at = lt + 1
             continue
         at = found.end()
@@ -75,72 +126,70 @@ def parse(html: str) -> Node:
             continue
         tag = found[2].lower()
         if found[1]:
-            up = here
-            while up is not None and up.tag != tag:
-                up = up.parent if up.tag not in ("body", "html") or tag in ("body", "html") else None
-            if up is not None and up.parent is not None:
-                here = up.parent
-            elif tag == "br":
-                here.children.append(Node("br", "", here))
+            if not open_.end(tag) and tag == "br":
+                open_.here.children.append(Node("br", "", open_.here))
             continue
-        here = _make_room(here, tag)
-        node = Node(tag, found[3] or "", here)
-        here.children.append(node)
+        open_.make_room(tag)
+        node = Node(tag, found[3] or "", open_.here)
+        open_.here.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
             if tag in ("textarea", "title"):
                 node.children.append(unescape(html[at : end.start() if end else len(html)]))
             at = end.end() if end else len(html)
         elif tag not in VOID and not (found[3] or "").rstrip().endswith("/") or tag in BLOCK - VOID:
-            here = node
+            open_.push(node)
     return root
 
 
-def _make_room(here: Node, tag: str) -> Node:
-    """Where a new element goes: elements that its start tag ends are left, through open inline elements."""
-    up = here
-    while up.parent is not None and (up.tag in INLINE_FORMAT or up.tag in CLOSED_BY):
-        if tag in CLOSED_BY.get(up.tag, ()):
-            return _make_room(up.parent, tag)
-        up = up.parent
-    return here
+def attributes_of(node: Node) -> dict[str, str]:
+    """Attributes by name in lower case; the first of a name holds."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(node.attributes):
+        found.setdefault(name.lower(), unescape("".join(values)).lower())
+    return found
 
 
 def _is_noise(node: Node, inside_article: bool) -> bool:
     if node.tag in DROPPED or node.tag == "header" and not inside_article:
         return True
-    if node.attributes and node.tag not in ("html", "body", "article", "main"):
-        for name, *values in ATTRIBUTE.findall(node.attributes):
-            name, value = name.lower(), "".join(values).lower()
-            if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-                return True
-    return False
+    if not node.attributes or node.tag in ("html", "body", "article", "main"):
+        return False
+    own = attributes_of(node)
+    return own.get("role") in ROLES or "hidden" in own and own["hidden"] != "until-found" or own.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", own.get("style", "")) is not None
 
 
-def _is_hinted(node: Node) -> bool:
+def _is_hinted(node: Node, mostly_links: bool) -> bool:
+    """Whether a class or id hints at a part that isn't the article; weak hints count where most of the part is links."""
     if not node.attributes or node.tag in ("html", "body", "article", "main"):
         return False
-    return any(name.lower() in ("class", "id") and any(NOISE.fullmatch(t) for t in "".join(values).lower().split()) for name, *values in ATTRIBUTE.findall(node.attributes))
+    own = attributes_of(node)
+    tokens = f"{own.get('class', '')} {own.get('id', '')}".split()
+    return any(t in HINTS for t in tokens) or mostly_links and any(t in WEAK_HINTS for t in tokens)
 
 
 def _drop_hinted(nodes: list[Node]) -> None:
     """Drops parts that their class or id hints at, unless they hold a first-level heading, or most of the page's text outside links; where there
     is an article or main element, only parts around or inside it can hold most of it."""
     plain: dict[int, int] = {}
+    total: dict[int, int] = {}
     heads: set[int] = set()
     marked: set[int] = set()
     for node in reversed(nodes):
-        n = 0
+        n = everything = 0
         for child in node.children:
             if isinstance(child, str):
-                n += len("".join(child.split()))
+                own = len("".join(child.split()))
+                n += own
+                everything += own
             elif not child.dropped:
+                everything += total[id(child)]
                 n += plain[id(child)] if child.tag != "a" else 0
                 if child.tag == "h1" or id(child) in heads:
                     heads.add(id(node))
                 if id(child) in marked:
                     marked.add(id(node))
-        plain[id(node)] = n
+        plain[id(node)], total[id(node)] = n, everything
         if n and not node.dropped and node.tag in ("article", "main"):
             marked.add(id(node))
     whole, is_marked, inside = plain[id(nodes[0])], bool(marked), set()
@@ -149,7 +198,7 @@ def _drop_hinted(nodes: list[Node]) -> None:
             inside.add(id(node))
         above = node.parent is not None and node.parent.dropped
         keeps = node.tag == "h1" or id(node) in heads or 2 * plain[id(node)] > whole and (not is_marked or id(node) in marked or id(node) in inside)
-        node.dropped = node.dropped or above or not keeps and _is_hinted(node)
+        node.dropped = node.dropped or above or not keeps and _is_hinted(node, 2 * plain[id(node)] < total[id(node)])
 
 
 def walk(root: Node) -> list[Node]:
@@ -192,7 +241,7 @@ def measure(root: Node) -> Node:
             links = (node.chars / max(1, node.link_chars)) * (max(1, node.tags) / max(1, node.link_tags))
             node.density = node.chars / max(1, node.tags) * max(0.0, math.log(max(1.0, links)) / math.log(max(math.e, scale)))
     for node in nodes:
-        node.sum = sum(c.density for c in node.children if isinstance(c, Node)) + sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        node.sum = sum(c.density for c in node.children if isinstance(c, Node))
     return body
 
 
