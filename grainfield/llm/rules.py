@@ -1,16 +1,18 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
 Counts per document give a base verdict and four rates, higher being worse. For each stratum (language) and rate the
-cutoffs of a fixed grid are tested from the loosest to the strictest on labelled holdouts: the hypothesis that a cutoff
-rejects more than `risk` of good documents falls if the exact binomial probability of as few false rejections as seen
+cutoffs of a fixed grid are tested from the loosest to the strictest on labelled holdouts. A stratum may lose `risk` of its good
+documents to all rates together, so each rate has an equal part of that: the hypothesis that a cutoff rejects more than
+risk / (number of rates) of the good documents falls if the exact binomial probability of as few false rejections as seen
 is at most `error` / (number of strata and rates). The sequence ends at the first cutoff that isn't certified (fixed
 sequence testing needs no further correction inside it), and the strictest certified cutoff holds. So with confidence
-1 - error every stratum's rates reject at most `risk` of good documents each. Without enough labels nothing is certified
-and nothing beyond the base rule is rejected.
+1 - error the rates together reject at most `risk` of good documents in every stratum. Without enough labels nothing is certified
+and nothing beyond the base rule is rejected. Strata are a parameter, so that their number, and with it the correction, doesn't
+depend on the data.
 
-Cases: null and empty texts have no words and fail the base rule; null languages and ones outside `strata` are pooled;
-labels that repeat count once (the lower quality holds), null ones never; equal rows get equal verdicts; an empty table
-gives no rows.
+Cases: null and empty texts have no words and fail the base rule; texts of any length are counted whole; null languages and ones
+outside `strata` are pooled; labels that repeat count once (the lower quality holds), null ones never, and null ids have none; equal and
+repeated rows get equal verdicts; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, found).otherwise(0).cast("long")
 
 
-def text_counts(docs: DataFrame) -> DataFrame:
+def text_counts(docs: DataFrame, strata: tuple[str, ...] = STRATA) -> DataFrame:
     """Counts of each row of `docs(doc_id, text, lang)`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
@@ -56,7 +58,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return (
         docs.select(
             "doc_id",
-            F.when(F.col("lang").isin(*STRATA), F.col("lang")).otherwise("other").alias("stratum"),
+            F.when(F.col("lang").isin(*strata), F.col("lang")).otherwise("other").alias("stratum"),
             F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
             (F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_capitals"),
@@ -86,7 +88,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).otherwise(F.least(F.lit(1.0), top * total))
 
 
-def risk_controlled_cutoffs(counts: DataFrame, labels: DataFrame, risk: float = 0.01, error: float = 0.05) -> DataFrame:
+def risk_controlled_cutoffs(counts: DataFrame, labels: DataFrame, risk: float = 0.04, error: float = 0.05, strata: tuple[str, ...] = STRATA) -> DataFrame:
     """Rows (stratum, rate, cutoff): the strictest certified cutoffs, (strata + 1) x rates rows at most."""
     good = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
     held = counts.filter("not base_failed").join(good, "doc_id")
@@ -99,16 +101,16 @@ def risk_controlled_cutoffs(counts: DataFrame, labels: DataFrame, risk: float =
         .agg(F.sum("n").alias("n"), F.collect_list(F.struct("passed", F.col("n").alias("m"))).alias("bins"))
         .select("stratum", "rate", "n", "bins", F.posexplode(grid).alias("at", "cutoff"))
         .withColumn("k", F.aggregate("bins", F.lit(0).cast("long"), lambda s, b: s + F.when(b["passed"] <= F.col("at"), b["m"]).otherwise(0)))
-        .withColumn("certified", binomial_tail(F.col("k"), F.col("n"), risk) <= error / ((len(STRATA) + 1) * len(RATES)))
+        .withColumn("certified", binomial_tail(F.col("k"), F.col("n"), risk / len(RATES)) <= error / ((len(strata) + 1) * len(RATES)))
     )
     so_far = Window.partitionBy("stratum", "rate").orderBy("at")
     return tests.withColumn("open", F.min(F.col("certified").cast("int")).over(so_far)).filter("open = 1").groupBy("stratum", "rate").agg(F.min("cutoff").alias("cutoff"))
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.01, error: float = 0.05) -> DataFrame:
+def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.04, error: float = 0.05, strata: tuple[str, ...] = STRATA) -> DataFrame:
     """The counts of text_counts() with base_failed, kept, and the name of the first rate above its cutoff (rejected_by)."""
-    counts = cut(text_counts(docs))
-    cutoffs = risk_controlled_cutoffs(counts, labels, risk, error)
+    counts = cut(text_counts(docs, strata))
+    cutoffs = risk_controlled_cutoffs(counts, labels, risk, error, strata)
     wide = cutoffs.groupBy("stratum").pivot("rate", list(RATES)).agg(F.first("cutoff"))
     wide = wide.select("stratum", *(F.col(name).alias(f"cut_{name}") for name in RATES))
     above = F.coalesce(*(F.when(~F.col("base_failed") & (F.expr(e) > F.col(f"cut_{name}")), F.lit(name)) for name, e in RATES.items()))
@@ -117,8 +119,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.01, error: f
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop(*(f"cut_{name}" for name in RATES))
 
 
-def rules_sql(risk: float = 0.01, error: float = 0.05) -> str:
+def rules_sql(risk: float = 0.04, error: float = 0.05) -> str:
     """DuckDB SQL for apply_rules() over the views documents and labels."""
+    each = risk / len(RATES)
     rates = ", ".join(f"struct_pack(rate := '{name}', x := {e})" for name, e in RATES.items())
     above = " or ".join(f"coalesce({e} > (select min(cutoff) from cutoffs c where c.stratum = k.stratum and c.rate = '{name}'), false)" for name, e in RATES.items())
     return f"""
@@ -138,7 +141,7 @@ good as (select doc_id from labels where doc_id is not null and quality is not n
 held as (select stratum, unnest([{rates}]) as b from k join good using (doc_id) where not base_failed),
 grid as (select unnest({list(GRID)})::double as cutoff, unnest(range(0, {len(GRID)})) as step),
 tests as (select stratum, b.rate as rate, cutoff, step, count(*) as n, count(*) filter (where b.x > cutoff) as f from held, grid group by all),
-tails as (select stratum, rate, cutoff, step, f > n * {risk} as over_risk,
-    (select sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({risk}::double) + (n - i) * ln(1 - {risk}::double))) from (select unnest(range(0, f + 1)) as i)) as p from tests),
+tails as (select stratum, rate, cutoff, step, f > n * {each} as over_risk,
+    (select sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({each}::double) + (n - i) * ln(1 - {each}::double))) from (select unnest(range(0, f + 1)) as i)) as p from tests),
 cutoffs as (select stratum, rate, min(cutoff) as cutoff from (select *, bool_and(not over_risk and p <= {error} / {(len(STRATA) + 1) * len(RATES)}) over (partition by stratum, rate order by step) as certified from tails) where certified group by all)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({above}) as kept from k"""
