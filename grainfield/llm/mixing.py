@@ -1,25 +1,25 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree, in DataFrame operations only.
 
 Sizes are words. The words of a source, its documents in an order dealt by a keyed hash, form one stream that is cut
-into blocks of equal length. A target of t words over a source of s words takes every block floor(t/s) times and a quota
-of blocks (the last one shortened) once more. The tree starts from the quotas of all sources and halves the output
-shards level by level: the left half's share of each source is a multivariate hypergeometric draw, one hypergeometric
-draw after another over the sources, each by inversion from its mode. Leaves hold the exact block quota of each source
-in each shard. Block numbers go through a keyed affine permutation of the source's blocks, and each leaf draws the next
-run of permuted numbers, so the shards' blocks are disjoint and together as many as the quota. Whole passes deal each
-block to a shard by hash. Within a shard, blocks are ordered by a keyed hash.
+into blocks of equal length. A target of t words over a source of s words takes floor(t/s) whole passes over its blocks and a quota
+of blocks (the last one shortened) in one more, partial pass. The tree starts from the number of blocks that all passes of each source
+take and halves the output shards level by level: the left half's share of each source is a multivariate hypergeometric draw, one
+hypergeometric draw after another over the sources, each by inversion from its mode. Leaves hold the exact block quota of each source
+in each shard. In every pass block numbers go through a keyed affine permutation of the source's blocks, and each leaf draws the next
+run of permuted numbers, pass after pass: what no leaf draws isn't in the mix. So the shards' draws are disjoint and together as many
+as the quota. Within a shard, blocks are ordered by a keyed hash.
 
 Positions in the streams are prefix sums over (source, bucket) cells of a few thousand documents each, so a source with a third
-of all rows is as many tasks. Nothing but per-source rows is ever held together: the tree is one array of sources.
+of all rows is as many tasks. Only what is one row a source is ever held together: the tree is one array of sources, so their number
+must fit in a row (some hundred thousand).
 
-Cases: null sources are one source, ordered last; null and empty texts have size 0 and are never taken; a source
-without words has target 0; repeated rows are documents of their own; an empty table gives an empty mix.
+Cases: null sources are one source, ordered last; null and empty texts have size 0 and are never taken; texts of any length are cut at
+blocks; a source without words has target 0; null ids are documents like any; repeated rows are documents of their own; an empty table
+gives an empty mix; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,10 +150,10 @@ def mix_sources(
 ) -> DataFrame:
     """The mix of `docs(doc_id, text, source)` into 2^levels output shards.
 
-    A row for each row of docs: doc_id, mark (a digest of source and text), size, source, source_size, target, passes (whole passes over the source), taken,
-    and draws: an array of (shard, block, key, first_word, n_words) for the part of the document that the last, partial
-    pass takes: block is the block of the source's stream, key its place in the shard's local shuffle. `taken` counts
-    words, repeats included: passes * size plus those of the draws. Reruns with the same arguments give the same mix.
+    A row for each row of docs: doc_id, mark (a digest of source and text), size, source, source_size, target, taken, and draws: an
+    array of (shard, pass, block, key, first_word, n_words) for what each leaf of the tree draws of the document: block is the block of
+    the source's stream, key its place in the shard's local shuffle. `taken` adds the words of the draws. Reruns with the same arguments
+    give the same mix.
     """
     sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("source", "text").alias("mark")))
     sized = sized.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "mark"))
@@ -164,7 +164,7 @@ def mix_sources(
     per = per.withColumn("passes", passes).withColumn("words", words).withColumn("blocks", F.ceil(size / F.lit(block_words)).cast("long"))
     per = per.withColumn("quota", F.least("blocks", F.ceil(F.col("words") / F.lit(block_words)).cast("long"))).withColumn("buckets", F.ceil(F.col("n_docs") / F.lit(bucket_docs)).cast("long"))
     per = cut(per)
-    ends = splitting_tree(per.select("source", "quota"), levels, seed)
+    ends = splitting_tree(per.select("source", (F.col("passes") * F.col("blocks") + F.col("quota")).alias("quota")), levels, seed)
     per = cut(per.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
     of_source = lambda left: left.join(F.broadcast(per) if per.count() <= 100_000 else per, left["s"].eqNullSafe(per["source"]))
     dealt = of_source(sized.withColumnRenamed("source", "s")).withColumn("bucket", F.pmod(F.col("h"), F.col("buckets"))).select("doc_id", "mark", "s", "size", "h", "bucket")
@@ -181,28 +181,31 @@ def mix_sources(
     shift = F.pmod(F.xxhash64(F.lit(seed + 1), "s"), F.greatest(F.col("blocks"), F.lit(1)))
     b, end = F.lit(block_words), F.col("start") + F.col("size")
 
-    def draw(block: Column) -> Column:
-        rank = ((block.cast("decimal(19,0)") * (F.lit(PRIME).cast("decimal(19,0)") % n) + shift) % n).cast("long")
-        shard = F.size(F.filter("ends", lambda e: e <= rank))
-        # The last block of the draw stops at the words still wanted.
-        length = F.when(rank == F.col("quota") - 1, F.col("words") - rank * b).otherwise(b)
+    def draw(turn: Column, block: Column) -> Column:
+        rank = ((block.cast("decimal(19,0)") * (F.lit(PRIME).cast("decimal(19,0)") % n) + shift + turn * 7919) % n).cast("long")
+        # The last block of the partial pass stops at the words still wanted.
+        length = F.when((turn == F.col("passes")) & (rank == F.col("quota") - 1), F.col("words") - rank * b).otherwise(b)
         first, last = F.greatest(block * b, F.col("start")), F.least(block * b + length, end)
         return F.struct(
-            F.when(rank < F.col("quota"), shard).alias("shard"), block.alias("block"), F.xxhash64(F.lit(seed + 2), block, F.col("s")).alias("key"),
+            _leaf("ends", turn * F.col("blocks") + rank).alias("shard"), turn.alias("pass"), block.alias("block"), F.xxhash64(F.lit(seed + 2), turn, block, F.col("s")).alias("key"),
             (first - F.col("start")).alias("first_word"), (last - first).alias("n_words"),
         )
 
-    blocks = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.sequence(F.floor(F.col("start") / b), F.floor((end - 1) / b)))
-    full = full.withColumn("draws", F.coalesce(F.filter(F.transform(blocks, draw), lambda d: d["shard"].isNotNull() & (d["n_words"] > 0)), F.expr("cast(array() as array<struct<shard:int,block:bigint,key:bigint,first_word:bigint,n_words:bigint>>)")))
-    taken = F.col("passes") * F.col("size") + F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["n_words"])
-    return full.select("doc_id", "mark", "size", "source", "source_size", "target", "passes", taken.alias("taken"), "draws")
+    blocks = F.sequence(F.floor(F.col("start") / b), F.floor((end - 1) / b))
+    drawn = F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda turn: F.transform(blocks, lambda block: draw(turn, block))))
+    drawn = F.filter(drawn, lambda d: d["shard"].isNotNull() & (d["n_words"] > 0))
+    none = F.expr("cast(array() as array<struct<shard:int,pass:bigint,block:bigint,key:bigint,first_word:bigint,n_words:bigint>>)")
+    full = full.withColumn("draws", F.when(F.col("size") > 0, drawn).otherwise(none))
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["n_words"])
+    return full.select("doc_id", "mark", "size", "source", "source_size", "target", taken.alias("taken"), "draws")
+
+
+def _leaf(ends: str, number: Column) -> Column:
+    """The shard whose run of draws holds a number; null beyond the last."""
+    return F.when(number < F.coalesce(F.try_element_at(F.col(ends), F.lit(-1)), F.lit(0)), F.size(F.filter(ends, lambda e: e <= number)))
 
 
-def shards(mix: DataFrame, levels: int = 5, seed: int = 17) -> DataFrame:
-    """The mix as rows (shard, key, doc_id, source, first_word, n_words), each shard shuffled locally by key."""
-    n = F.lit(1 << levels)
-    whole = mix.filter("passes > 0 and size > 0").select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("pass"))
-    key = F.xxhash64(F.lit(seed + 3), "doc_id", "pass", "source")
-    whole = whole.select(F.pmod(key, n).cast("int").alias("shard"), F.xxhash64(key).alias("key"), "doc_id", "source", F.lit(0).cast("long").alias("first_word"), F.col("size").alias("n_words"))
-    part = mix.select("doc_id", "source", F.explode("draws").alias("d")).select("d.shard", "d.key", "doc_id", "source", "d.first_word", "d.n_words")
-    return reduce(DataFrame.unionByName, [whole, part]).repartition("shard").sortWithinPartitions("shard", "key", "doc_id")
+def shards(mix: DataFrame) -> DataFrame:
+    """The mix as rows (shard, key, doc_id, source, pass, first_word, n_words), each shard shuffled locally by key."""
+    part = mix.select("doc_id", "source", F.explode("draws").alias("d")).select("d.shard", "d.key", "doc_id", "source", "d.pass", "d.first_word", "d.n_words")
+    return part.repartition("shard").sortWithinPartitions("shard", "key", "doc_id")

@@ -15,7 +15,8 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: weights 3, 1, 2 repeating, 150% of all words, twice a source's words at most."""
     from .mixing import mix_sources
 
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    drawn = F.transform("draws", lambda d: F.struct(d["shard"].alias("shard"), d["n_words"].alias("n_words"))).alias("drawn")
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", drawn)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
