@@ -7,7 +7,8 @@ sample's vectors, labels and projection have a fixed bound (`rows` x `rank`) and
 cosines with all of them are computed exactly, in blocks, and its nearest neighbours vote by their similarity.
 
 Cases: null and empty texts have the terms of length 0 and are scored like any; without labelled rows nothing is known against any text and every score is 1; texts of
-any length are scored whole, words of over 64 characters as consecutive pieces; equal texts get equal scores; ties among neighbours at the k-th place go by sample order.
+any length are scored whole, words of over 64 characters as consecutive pieces; equal texts get equal scores; ties among neighbours at the k-th place go by sample order;
+null ids and repeated rows are scored like any; an empty table gives no rows; other columns pass through, but for one named quality, which is replaced.
 """
 
 from __future__ import annotations
