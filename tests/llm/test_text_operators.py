@@ -13,7 +13,7 @@ from grainfield.llm import bpe, html, licenses, tokenfiles
 from grainfield.llm.queries import op1_mix, op5_token_files, op6_licenses, op7_bpe  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
-ODD = [None, "", " ", "a", "don't I'LL 's", "x\x1cy  z", "é́ ﬁ", "日本 😀!!", "<|endoftext|> a", "  two  spaces \n\n new  line ", "a" * 3000, "word, word. " * 500, "12,34 ###$$$"]
+ODD = [None, "", " ", "a", "don't I'LL 's", "x\x1cy  z", "é́ ﬁ", "日本 😀!!", "<|endoftext|> a", "A<|endoftext|>B, <|ENDOFTEXT|> <|startoftext|><|endoftext|>.", "  two  spaces \n\n new  line ", "a" * 3000, "word, word. " * 500, "12,34 ###$$$"]
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,6 @@ def test_token_files_round_trip(spark, odd, tmp_path):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     docs = odd.filter("doc_id is not null").dropDuplicates(["doc_id"])
     files = tokenfiles.write_token_files(docs, path, 2, f"file://{tmp_path}/out")
     got = {r["doc_id"]: r for r in tokenfiles.read_token_files(files).collect()}
@@ -81,6 +80,15 @@ def test_license_phrases_tags_and_expressions(spark, odd):
         own = words(pattern, "".join(c.lower() if "A" <= c <= "Z" else c for c in r["text"]))
         places = [i for i in range(len(own)) for p in licenses.BASE_PHRASES if own[i : i + len(p.split())] == p.split()]
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(own), len(places), min(places, default=None), max(places, default=None))
+    tags = {
+        "SPDX-License-Identifier: MIT SPDX-License-Identifier: GPL-2.0": "gpl-2.0,mit", "see SPDX-License-Identifier: MIT.": "mit", "SPDX-License-Identifier: MIT or later text": "mit",
+        "spdx license identifier (Apache-2.0 OR LicenseRef-own) and x": "apache-2.0,licenseref-own", "SPDX-License-Identifier: what it is": "", "xspdx-license-identifier: MIT": "",
+    }
+    finder = licenses.automaton({**licenses.BASE_PHRASES, **licenses.MORE_PHRASES, licenses.TAG: ""})
+    assert {t: licenses.scan(t.encode(), finder)[5] for t in tags} == tags
+    assert all(map(licenses.permits, ("cc-by", "cc-by-4.0", "mit"))) and not any(map(licenses.permits, ("cc-by-nc-4.0", "gpl-3.0")))
+    long = b"cc by nc " * 400_000 + b"x" * 6_000_000 + b" spdx-license-identifier: mit or" * 10_000
+    assert licenses.scan(long, finder)[:6] == (1_200_001 + 50_000, 400_000, 0, 1_199_997, "cc-by-nc", "cc-by-nc,mit")
     assert licenses.scan_licenses(odd).count() == len(ODD) + 2 and licenses.scan_licenses(odd.limit(0)).count() == 0
 
 
@@ -107,6 +115,36 @@ def test_class_words_do_not_drop_the_article(name):
     assert html.main_text(page) == f"T\n{PLAIN}\nA section on shares."
 
 
+@pytest.mark.parametrize(
+    "part",
+    ["<div class='layout no-sidebar'>{}</div>", "<div class=has-ads>{}</div>", "<div data-id=share>{}</div>", "<article><h1>T</h1><section class='related work'>{}</section></article>", "<div title='the hidden valley' data-role='navigation'>{}</div>",
+     "<article><div class=post-header><h1>T</h1></div>{}</article>", "<article><p class=notice-period>Three months.</p>{}</article>", "<div data-x='class=ad hidden'>{}</div>"],
+)
+def test_attributes_are_told_apart(part):
+    text = html.main_text(f"<body><div class='ad'>Buy this.</div>{part.format(PARAGRAPH)}<div id='sidebar' hidden>s</div><ul class=related><li><a href=x>l</a></ul></body>")
+    head = "T\n" if "<h1>" in part else "Three months.\n" if "notice" in part else ""
+    assert text == head + PLAIN
+
+
+def test_deep_and_misnested_pages_take_linear_time():
+    import time
+
+    for page in ("<b>x" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "<li><b>x" * 20_000, "<p><i>x</i>" * 20_000, "<div class=widget>a" * 20_000, "<td><dt><li><p>" * 10_000):
+        began = time.time()
+        html.main_text(page)
+        assert time.time() - began < 8
+
+
+def test_density_decides_without_an_article(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    found = 0
+    for page in pages:
+        bare = page.replace("<article>", "<div><div>").replace("</article>", "</div></div>").replace(' class="ad"', "").replace("<nav>", "<div>").replace("</nav>", "</div>")
+        body = html.measure(html.parse(bare))
+        found += "\n".join(html.blocks_of(html.main_node(body), 0.0)) == html.main_text(page)
+    assert found >= 0.9 * len(pages)  # with no mark left, the largest density sum is where the article was; all but very short ones
+
+
 def test_text_beside_the_densest_container_is_kept():
     first, second = ([f"{w} " * 60 + f"{i}." for i in range(5)] for w in ("one", "two"))
     sections = "".join("<section>" + "".join(f"<p>{t}</p>" for t in texts) + "</section>" for texts in (first, second))
