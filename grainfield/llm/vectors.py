@@ -2,8 +2,8 @@
 
 Equal vectors of a label are one class first, known by its smallest id. In each pass every class gets a key of 64 random
 hyperplane bits; vectors are ordered lexicographically by label and key and each is compared, in double precision, with
-the `window` that follow it. Ranges of that order are separate tasks, and the ends of neighbouring ranges are compared in
-a second step, so no window is cut. Tasks hand on a spanning forest of their verified pairs only, and the union over all
+the `window` that follow it. Ranges of that order are separate tasks, and what stands at their ends (or in tasks of less than a
+window) is compared in a second step, so no window is cut. Tasks hand on a spanning forest of their verified pairs only, and the union over all
 passes gives the components. Links are then counted exactly inside each component, in blocks of vectors, so a group
 larger than any window keeps all its links.
 
@@ -13,8 +13,8 @@ distance from the mean says how likely a pair at the threshold shares each bit.
 is taken, with as many passes, MOST at most, as leave a pair at the threshold missed with probability `miss` in the mean over the vectors whose window isn't full of links.
 
 Cases: null labels, null ids, and vectors that are null, empty, zero or hold null or non-finite components link with
-nothing; vectors of different lengths never link; equal rows are vectors of their own with links between them; an empty
-table gives no rows.
+nothing; vectors of different lengths never link; vectors of any length are compared whole; equal rows are vectors of their own with
+links between them; ties in the order go by id; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,9 +32,8 @@ from .common import cut, min_label_components
 
 WIDER = (1, 2, 4, 8)  # windows on trial, as multiples
 MOST = 512
-EDGE = "a long, b long, boundary long, pass int, label long, dim int, key binary, vec array<double>, m long"
 ROW = ["boundary", "pass", "label", "dim", "key", "a", "vec"]
-EDGE_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("boundary", pa.int64()), ("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int32()), ("key", pa.binary()), ("vec", pa.list_(pa.float64())), ("m", pa.int64())])
+FIRST, LAST, ALL = range(3)  # which rows of a task are handed on: its first, its last, or all of the few it has
 
 
 def hyperplanes(dim: int, passes: int, seed: int) -> np.ndarray:
@@ -108,7 +107,7 @@ def add_keys(classes: DataFrame, passes: int, seed: int) -> DataFrame:
                         keys = [b.tobytes() for b in packed[:, k]]
                         yield pa.RecordBatch.from_arrays([some.column("a"), pa.array(np.full(some.num_rows, k, np.int32)), some.column("label"), some.column("dim"), pa.array(keys, pa.binary()), some.column("vec"), some.column("n"), far], ["a", "pass", "label", "dim", "key", "vec", "n", "far"])
 
-    return classes.select("a", "label", "dim", "vec", "n", "mean").mapInArrow(run, "a long, pass int, label long, dim int, key binary, vec array<double>, n long, far double")
+    return classes.select("a", "label", "dim", "vec", "n", "mean").mapInArrow(run, f"a long, pass int, label long, dim int, key binary, vec {dict(classes.dtypes)['vec']}, n long, far double")
 
 
 def shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,29 +168,45 @@ def plan_passes(classes: DataFrame, largest: int, threshold: float, window: int,
     return min(choices)[1:]
 
 
-def window_links(threshold: float, window: int, ends: bool):
-    """Over batches sorted by ROW[:5]: spanning forests of the pairs inside windows, as rows (a, b); with `ends`, the first and last rows of the task too."""
+def window_links(threshold: float, window: int, kind: str, ends: bool):
+    """(function, schema) over batches sorted by ROW[:6]: spanning forests of the pairs inside windows, as rows (a, b).
+
+    With `ends` also the first and last `window` rows of the task, or all if it has no more, as rows without b: (task, side) in place of b and boundary.
+    """
+    vec = pa.list_(pa.float32() if kind == "float" else pa.float64())
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("task", pa.int64()), ("side", pa.int32()), ("pass", pa.int32()), ("label", pa.int64()), ("dim", pa.int32()), ("key", pa.binary()), ("vec", vec)])
+
+    def forests(rows: pa.Table):
+        for a, b in links_of(rows, threshold, window):
+            yield pa.record_batch([pa.array(a), pa.array(b), *(pa.nulls(len(a), t) for t in schema.types[2:])], schema=schema)
+
+    def handed(rows: pa.Table, task: int, side: int):
+        n = rows.num_rows
+        yield from pa.table([rows.column("a"), pa.nulls(n, pa.int64()), pa.array([task] * n, pa.int64()), pa.array([side] * n, pa.int32()), *(rows.column(c) for c in ("pass", "label", "dim", "key", "vec"))], schema=schema).to_batches()
 
     def run(parts):
-        task, tail, first, last = TaskContext.get().partitionId() if ends else 0, None, None, None
+        task, tail, first, total = TaskContext.get().partitionId() if ends else 0, None, None, 0
         for part in parts:
             for at in range(0, part.num_rows, 4000):
-                rows = pa.Table.from_batches([part.slice(at, 4000)])
-                rows = pa.concat_tables([tail, rows]).combine_chunks() if tail is not None else rows
-                yield from links_of(rows, threshold, window)
+                new = pa.Table.from_batches([part.slice(at, 4000)])
+                total += new.num_rows
+                rows = pa.concat_tables([tail, new]).combine_chunks() if tail is not None else new
+                yield from forests(rows)
                 tail = rows.slice(max(0, rows.num_rows - window))
-                if ends and first is None:
-                    first = rows.slice(0, window)
-                last = tail
-        if ends and last is not None:
-            for rows, boundary in ((first, task - 1), (last, task)):
-                n = rows.num_rows
-                yield from pa.table([rows.column("a").combine_chunks(), pa.nulls(n, pa.int64()), pa.array([boundary] * n, pa.int64()), *(rows.column(c).combine_chunks() for c in ("pass", "label", "dim", "key", "vec")), pa.nulls(n, pa.int64())], schema=EDGE_ARROW).to_batches()
+                if ends and (first is None or first.num_rows < window):
+                    first = rows.slice(0, window) if first is None else pa.concat_tables([first, new.slice(0, window - first.num_rows)])
+        if ends and total:
+            if total <= window:
+                yield from handed(tail, task, ALL)
+            else:
+                yield from handed(first, task, FIRST)
+                yield from handed(tail, task, LAST)
 
-    return run
+    return run, f"a long, b long, task long, side int, pass int, label long, dim int, key binary, vec array<{kind}>"
 
 
 def links_of(rows: pa.Table, threshold: float, window: int):
+    """For each group of rows that share boundary, pass, label and dim: (a, b), every linked row and the first one that it reaches."""
     n = rows.num_rows
     group = np.stack([rows.column(c).to_numpy() for c in ("boundary", "pass", "label", "dim")], axis=1) if n else np.zeros((0, 4))
     starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)]) if n else []
@@ -205,8 +220,21 @@ def links_of(rows: pa.Table, threshold: float, window: int):
         if len(a):
             root = forest(hi - lo, a, b)
             at = np.flatnonzero(root != np.arange(hi - lo))
-            k = len(at)
-            yield pa.record_batch([pa.array(ids[at]), pa.array(ids[root[at]]), *(pa.nulls(k, t) for t in EDGE_ARROW.types[2:])], schema=EDGE_ARROW)
+            yield ids[at], ids[root[at]]
+
+
+def between_tasks(found: DataFrame) -> DataFrame:
+    """The handed rows with the boundary that they meet at: what stands between two tasks of more than a window is one boundary, tasks of fewer rows included."""
+    sides = found.filter("b is null").groupBy("task", "side").count().orderBy("task").collect()  # two rows a task at most
+    before, meets = 0, []
+    for r in sides:
+        if r["side"] != LAST:
+            meets.append((r["task"], r["side"], before))
+        else:
+            before += 1
+            meets.append((r["task"], LAST, before))
+    known = found.sparkSession.createDataFrame(meets, "task long, side int, boundary long")
+    return found.filter("b is null").join(F.broadcast(known), ["task", "side"])
 
 
 def count_links(threshold: float):
@@ -214,12 +242,16 @@ def count_links(threshold: float):
 
     def counts(rows: pa.Table):
         x, ids, block, m = unit(matrix(rows.column("vec").combine_chunks())), rows.column("a").to_numpy(), rows.column("block").to_numpy(), rows.column("m").to_numpy()
-        near = x @ x.T >= threshold
+        links = np.zeros(len(x), np.int64)
         if rows.column("bi")[0].as_py() == rows.column("bj")[0].as_py():
+            near = x @ x.T >= threshold
             np.fill_diagonal(near, False)
+            links += near @ m
         else:
-            near &= block[:, None] != block[None, :]
-        return pa.record_batch([pa.array(ids), pa.array((near @ m).astype(np.int64))], ["a", "links"])
+            i, j = np.flatnonzero(block == block[0]), np.flatnonzero(block != block[0])
+            near = x[i] @ x[j].T >= threshold
+            links[i], links[j] = near @ m[j], m[i] @ near
+        return pa.record_batch([pa.array(ids), pa.array(links)], ["a", "links"])
 
     def run(parts):
         tail = None
@@ -240,10 +272,11 @@ def count_links(threshold: float):
 
 
 def near_duplicates(
-    embeddings: DataFrame, threshold: float = 0.93, window: int = 24, miss: float = 0.003, block: int = 100, seed: int = 29,
+    embeddings: DataFrame, threshold: float = 0.93, window: int = 24, miss: float = 0.003, block: int = 1000, seed: int = 29,
 ) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept) for every row of `embeddings(vec_id, embedding, label)`."""
-    vec = F.col("embedding").cast("array<double>")
+    kind = "float" if dict(embeddings.dtypes)["embedding"] == "array<float>" else "double"  # single precision travels as such; cosines are in double precision
+    vec = F.col("embedding").cast(f"array<{kind}>")
     finite = F.forall(vec, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))) & F.exists(vec, lambda x: x != 0)
     ok = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & vec.isNotNull() & finite, F.lit(False))
     mark = [F.when(ok, F.xxhash64(F.lit(k), "embedding")).alias(f"f{k}") for k in (0, 1)]
@@ -256,11 +289,12 @@ def near_duplicates(
     centred = classes.join(cut(means(classes)), ["label", "dim"])
     passes, window = plan_passes(centred, largest, threshold, window, miss, seed)
     keyed = add_keys(centred, passes, seed).withColumn("boundary", F.lit(0).cast("long")).select(*ROW)
-    ordered = keyed.repartitionByRange("pass", "label", "dim", "key", "a").sortWithinPartitions("pass", "label", "dim", "key", "a")
-    found = cut(ordered.mapInArrow(window_links(threshold, window, True), EDGE))
-    ends = found.filter("boundary is not null").select(*ROW).repartition("boundary").sortWithinPartitions("boundary", "pass", "label", "dim", "key", "a")
-    across = ends.mapInArrow(window_links(threshold, window, False), EDGE)
-    components = cut(min_label_components(found.filter("boundary is null").select("a", "b").union(across.select("a", "b"))))
+    order = "pass", "label", "dim", "key", "a"
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    found = cut(ordered.mapInArrow(*window_links(threshold, window, kind, True)))
+    ends = between_tasks(found).select(*ROW).repartition("boundary").sortWithinPartitions("boundary", *order)
+    across = ends.mapInArrow(*window_links(threshold, window, kind, False))
+    components = cut(min_label_components(found.filter("b is not null").select("a", "b").union(across.select("a", "b"))))
     sizes = components.groupBy("component").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
     member = classes.join(components.withColumnRenamed("id", "a"), "a").join(sizes, "component").withColumn("blocks", blocks)
