@@ -17,13 +17,13 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import struct
-import sys
 import uuid
 import zlib
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 import zstandard
 from pyarrow import fs as pafs
@@ -38,6 +38,8 @@ SKIPPABLE_SEEK_TABLE = 0x184D2A5E
 SKIPPABLE_DIRECTORY = 0x184D2A50
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
+# Marks that end a word after an ASCII letter or digit are a piece of their own; an apostrophe may begin another.
+MARKS = r"([a-z0-9])([!-&(-/:-@\[-`{-~]+)([\s\x0b]|$)"
 
 
 class TokenFileWriter:
@@ -106,9 +108,10 @@ _encoders: dict = {}
 
 
 class WordEncoder:
-    """Packed ids of texts under a tokenizer that drops white space, so words split at ASCII white space are encoded once each.
+    """Packed ids of texts under a tokenizer that drops white space, so words split at ASCII white space, and marks at their ends, are encoded once each.
 
     The library finds strings of added tokens in a text before it lower-cases; words that may hold one are encoded as they stand.
+    Each batch looks its distinct words up once, and puts its texts together from their ids in numpy.
     """
 
     def __init__(self, definition: str, limit: int = 1_000_000):
@@ -119,39 +122,77 @@ class WordEncoder:
         if any(len(a.split()) != 1 for a in self.added):
             raise ValueError("an added token holds white space, so texts can't be split at it")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.limit, self.known = limit, {}
-
-    def split(self, text: bytes) -> list[bytes]:
-        """Words in lower case, as the tokenizer has them anyway."""
-        low = text.lower()
-        words = low.split()
-        if any(a in low for a in self.added):
-            words = [as_is if any(a in w for a in self.added) else w for as_is, w in zip(text.split(), words, strict=True)]
-        return words
-
-    def packed(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [self.split(t) for t in texts]
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        missing = {w for ws in words for w in ws if w not in known}
-        # A comma or full stop after an ASCII letter is a piece of its own: such words are put together from two.
-        ended = [w for w in missing if len(w) > 1 and w[-1] in b",." and 97 <= w[-2] <= 122]
-        missing.difference_update(ended)
-        missing.update(w for e in ended for w in (e[:-1], e[-1:]) if w not in known)
-        todo, kind = list(missing), "H" if self.width == 2 else "I"
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(todo), 20_000):
-            part = todo[at : at + 20_000]
-            for word, found in zip(part, batch([w.decode("utf-8") for w in part], add_special_tokens=False), strict=True):
-                ids = array(kind, found.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                known[word] = ids.tobytes()
-        for word in ended:
-            known[word] = known[word[:-1]] + known[word[-1:]]
+        self.fence = next((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), None)
+        self.fence_id = self.tokenizer.token_to_id(self.fence) if self.fence else None
+        self.limit, self.known, self.older = limit, {b"": b""}, {}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word. Words are kept in two generations of `limit` / 2 each, so that those in use stay."""
+        if 2 * len(self.known) > self.limit:
+            self.known, self.older = {b"": b""}, self.known
+        known, older = self.known, self.older
+        missing = set()
+        for w in words:
+            if w not in known:
+                ids = older.get(w)
+                if ids is None:
+                    missing.add(w)
+                else:
+                    known[w] = ids
+        self.learn(missing)
+        return list(map(known.__getitem__, words))
+
+    def packed(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """Packed ids of each text and the end id; null texts have the end id alone."""
         end = end_id.to_bytes(self.width, "little")
-        return [b"".join(map(known.__getitem__, ws)) + end for ws in words]
+        low = pa.compute.ascii_lower(texts.cast(pa.string()).fill_null(""))
+        odd = np.zeros(len(texts), bool)
+        for token in self.added:
+            odd |= pa.compute.match_substring(low, token.decode()).to_numpy(zero_copy_only=False)
+        if odd.any():
+            low = pa.compute.if_else(pa.array(odd), "", low)
+        low = pa.compute.replace_substring_regex(low, MARKS, r"\1 \2\3")
+        lists = pa.compute.ascii_split_whitespace(low)  # ends of a text that are white space give empty words, which have no ids
+        words = lists.flatten().dictionary_encode()
+        own = self.ids(words.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // self.width
+        ids, starts = np.frombuffer(b"".join(own), f"<u{self.width}"), np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        before = np.cumsum(n) - n
+        raw = ids[np.repeat(starts[at] - before, n) + np.arange(n.sum())].tobytes()
+        offsets = lists.offsets.to_numpy()
+        ends = self.width * np.r_[before, n.sum()][offsets - offsets[0]]
+        out = [raw[a:b] + end for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(odd):
+            text = texts[int(i)].as_py().encode()
+            out[i] = b"".join(self.ids([w if any(a in w.lower() for a in self.added) else w.lower() for w in text.split()])) + end
+        return out
+
+    def learn(self, missing: set[bytes]) -> None:
+        """Encode words that aren't known yet."""
+        known = self.known
+        whole = [w for w in missing if self.fence is None or any(a in w.lower() for a in self.added)]
+        fenced = list(missing.difference(whole))
+        for w in whole:
+            known[w] = self.pack(self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+        # An added token between words parts them as texts of their own: one call encodes many.
+        for at in range(0, len(fenced), 5_000):
+            part = fenced[at : at + 5_000]
+            ids = self.pack(self.tokenizer.encode(b"".join((self.fence.encode(), self.fence.encode().join(part))).decode("utf-8"), add_special_tokens=False).ids)
+            raw, starts = ids.tobytes(), self.width * (np.flatnonzero(ids == self.fence_id) + 1)
+            ends = np.r_[starts[1:] - self.width, len(raw)]
+            known.update(zip(part, [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], strict=True))
+
+    def pack(self, ids: list[int]) -> np.ndarray:
+        return np.array(ids, f"<u{self.width}")
+
+
+def slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about `size` bytes, one text at least."""
+    step = np.cumsum(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    starts = np.flatnonzero(np.r_[True, step[1:] != step[:-1]]) if len(step) else []
+    yield from zip(starts, [*starts[1:], len(texts)], strict=True)
 
 
 def encoder(definition: str) -> WordEncoder:
@@ -180,14 +221,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, out_dir: str
         store, root = pafs.FileSystem.from_uri(out_dir)
         writer = None
         for part in parts:
-            ids, texts = part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()
-            for at in range(0, len(texts), 500):
-                if writer is None and texts:
+            ids, texts = part.column(0).to_pylist(), part.column(1)
+            for a, b in slices(texts):
+                if writer is None:
                     store.create_dir(root)
                     draft, final = f"{root}/.{no:08d}-{uuid.uuid4().hex}", f"{root}/{no:08d}.tokens"
                     sink = store.open_output_stream(draft)
                     writer = TokenFileWriter(sink, coder.width, level)
-                for doc_id, raw in zip(ids[at : at + 500], coder.packed([t or b"" for t in texts[at : at + 500]], end_id), strict=True):
+                for doc_id, raw in zip(ids[a:b], coder.packed(texts.slice(a, b - a), end_id), strict=True):
                     writer.add(doc_id, raw)
         if writer is not None:
             writer.close()
