@@ -44,12 +44,12 @@ KEYWORDS = {
 }
 OCR_CORRECTIONS = (("O", "0"), ("l", "1"), ("I", "1"), ("S", "5"), ("Z", "2"))
 DEALER_PATTERNS = (
-    r"(?i)(?:dealer(?:\s+name)?|seller|vendor|supplier|authorized\s+dealer)[\s:]+([A-Za-z0-9\s&.,()\x27\x22-]{3,80})",
-    r"(?i)(?:M/s|M\.s\.|Messrs\.?)[\s:]*([A-Za-z0-9\s&.,()\x27\x22-]{3,80})",
-    r"(?i)(?:name\s+of\s+dealer|dealer\s+name)[\s:]+([A-Za-z0-9\s&.,()\x27\x22-]{3,80})",
-    r"(?i)\b([A-Z][A-Za-z0-9\s&.,()\x27\x22-]{2,60}(?:PVT\.?\s*LTD\.?|PRIVATE\s+LIMITED|LTD\.?|LIMITED|ENTERPRISES|TRADERS|MOTORS|TRACTORS|AUTOMOBILES))\b",
-    r"(?i)\b([A-Z][A-Za-z0-9\s&.,()\x27\x22-]{3,50})\s*(?:AT|POST|VILLAGE|TALUKA|DIST|ADDRESS)",
-    r"(?i)(?:QUOTATION|INVOICE|PROFORMA)\s+(?:FROM|BY)[\s:]+([A-Za-z0-9\s&.,()\x27\x22-]{3,80})",
+    r"""(?i)(?:dealer(?:\s+name)?|seller|vendor|supplier|authorized\s+dealer)[\s:]+([A-Za-z0-9\s&.,()'"-]{3,80})""",
+    r"""(?i)(?:M/s|M\.s\.|Messrs\.?)[\s:]*([A-Za-z0-9\s&.,()'"-]{3,80})""",
+    r"""(?i)(?:name\s+of\s+dealer|dealer\s+name)[\s:]+([A-Za-z0-9\s&.,()'"-]{3,80})""",
+    r"""(?i)\b([A-Z][A-Za-z0-9\s&.,()'"-]{2,60}(?:PVT\.?\s*LTD\.?|PRIVATE\s+LIMITED|LTD\.?|LIMITED|ENTERPRISES|TRADERS|MOTORS|TRACTORS|AUTOMOBILES))\b""",
+    r"""(?i)\b([A-Z][A-Za-z0-9\s&.,()'"-]{3,50})\s*(?:AT|POST|VILLAGE|TALUKA|DIST|ADDRESS)""",
+    r"""(?i)(?:QUOTATION|INVOICE|PROFORMA)\s+(?:FROM|BY)[\s:]+([A-Za-z0-9\s&.,()'"-]{3,80})""",
     r"(?i)(?:डीलर|ડીલર|विक्रेता)[\s:]+([^\n]{3,60})",
 )
 MODEL_PATTERNS = (
@@ -121,3 +121,47 @@ IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "tif", "pdf")
 DETECTOR_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "pdf")
 PRICE_PER_HOUR = {"gpu": 0.10, "cpu": 0.01}
 LANGUAGE_ALIASES = {"english": ("english", "en", "eng"), "hindi": ("hindi", "hi", "hin"), "gujarati": ("gujarati", "gu", "guj")}
+ASSESSMENTS = ("EXCELLENT - All targets achieved", "GOOD - Most targets achieved", "FAIR - Some targets achieved", "NEEDS IMPROVEMENT - Few targets achieved")
+# The first four have conditions, the others are always given.
+ADVICE = (
+    "Improve OCR accuracy for low-quality scans using better preprocessing",
+    "Optimize VLM usage - only use when confidence is very low to reduce processing time",
+    "Add retry logic for failed OCR attempts with different preprocessing parameters",
+    "Reduce VLM dependency by improving rule-based extraction patterns",
+    "Implement active learning to improve model with difficult cases",
+    "Add more language-specific patterns for Hindi and Gujarati documents",
+    "Optimize YOLO model with more signature/stamp training data",
+    "Implement caching for frequently seen document templates",
+)
+VLM_CONTEXT = 300
+VLM_PROMPTS = {
+    "english": """Extract invoice fields as JSON:
+{context}
+
+Required: dealer_name, model_name, horse_power (number), asset_cost (number), 
+signature_present (bool), stamp_present (bool)
+
+Rules:
+- Extract exact values only
+- Use null for missing fields
+- Numbers only for numeric fields
+- Return valid JSON only
+
+Format:
+{"dealer_name": null, "model_name": null, "horse_power": null, 
+"asset_cost": null, "signature_present": false, "stamp_present": false}""",
+    "hindi": """JSON प्रारूप में इनवॉइस फ़ील्ड निकालें:
+{context}
+
+आवश्यक: dealer_name, model_name, horse_power (संख्या), asset_cost (संख्या),
+signature_present (bool), stamp_present (bool)
+
+JSON लौटाएं।""",
+    "gujarati": """JSON ફોર્મેટમાં ઇનવોઇસ ફીલ્ડ્સ કાઢો:
+{context}
+
+જરૂરી: dealer_name, model_name, horse_power (નંબર), asset_cost (નંબર),
+signature_present (bool), stamp_present (bool)
+
+JSON પરત કરો।""",
+}

@@ -84,6 +84,20 @@ class Spark:
         """Six places as DuckDB rounds a double, by way of x * 1e6, which tells halves apart otherwise than Spark's decimal round."""
         return f"(round(({x}) * 1e6) / 1e6)"
 
+    def finished(self, sql: str) -> str:
+        """Every round(x, n) of a plan as round6() has it, by way of x * 10^n: Spark's own goes by the decimal form of a double."""
+        out, at = [], 0
+        for found in re.finditer(r"(?<![a-z_])round\(", sql):
+            depth, end = 1, found.end()
+            while depth:
+                depth += {"(": 1, ")": -1}.get(sql[end], 0)
+                end += 1
+            scaled = re.fullmatch(r"(.*), (\d+)", sql[found.end() : end - 1], re.S)
+            if found.start() >= at and scaled:
+                out += [sql[at : found.start()], f"(round(({self.finished(scaled[1])}) * 1e{scaled[2]}) / 1e{scaled[2]})"]
+                at = end
+        return "".join([*out, sql[at:]])
+
     def values(self, columns: str, rows: str) -> str:
         return f"(select * from values {rows} as t({columns}))"
 
@@ -99,6 +113,9 @@ class Duck(Spark):
     def round6(self, x: str) -> str:
         return f"round({x}, 6)"
 
+    def finished(self, sql: str) -> str:
+        return sql
+
     def table(self, name: str) -> str:
         return name
 
@@ -173,4 +190,4 @@ def any_of(words, x: str, d: Spark) -> str:
 
 def query(d: Spark, steps: dict[str, str], final: str) -> str:
     """A WITH query of named steps."""
-    return "with " + ",\n".join(f"{name} as ({sql})" for name, sql in steps.items()) + "\n" + final
+    return d.finished(("with " + ",\n".join(f"{name} as ({sql})" for name, sql in steps.items()) + "\n" if steps else "") + final)

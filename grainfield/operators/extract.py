@@ -1,26 +1,27 @@
 """Candidates for the four text fields, their scores, and the best of each document.
 
 One pass over a document's blocks generates the candidates of all fields; one aggregation by document and field picks
-the best. Ties go to the first in generation order, encoded in `seq`: strategy, block position, pattern, match.
+the best. Ties go to the first in generation order, encoded in `seq`: strategy, block position, pattern, match. A marker
+candidate of no field stands for each document, so that documents without any other, or without text, stay in the same pass.
 """
 
 from __future__ import annotations
 
-from ..functions import bank
+from ..functions import bank, fuzzy
 from ..functions.dialect import any_of
 from ..functions.scalars import block_numbers, clean_dealer, has_business_suffix, section_flag, strip, valid_dealer
 
 
 def prepared(d, source: str = "invoice_blocks") -> dict[str, str]:
-    """Blocks that aren't blank, by position, with numbers, flags and section starts."""
+    """Blocks by position, blank ones (original = '') behind all others, with numbers, flags and section starts."""
     return {
         "stripped": f"select document_id, idx, {strip(d, 'text')} as original, confidence as conf from {source}",
         "placed": f"""select document_id, idx, original, conf, lower(original) as text, {clean_dealer(d, 'original')} as own_name, {block_numbers(d, 'original')} as nums,
             {any_of(bank.BLOCK_CURRENCY, 'original', d)} as has_currency, {has_business_suffix(d, 'original')} as has_suffix,
-            row_number() over (partition by document_id order by idx) - 1 as pos from stripped where original <> ''""",
+            cast(row_number() over (partition by document_id order by case when original = '' then 1 else 0 end, idx) - 1 as bigint) as pos from stripped""",
         "flagged": f"""select *, {', '.join(f"{section_flag(d, 'text', s)} as kw_{s}" for s in bank.SECTION_KEYWORDS)} from placed""",
         "windowed": """select *, min(case when kw_specs then pos end) over (partition by document_id) as specs_at, min(case when kw_financial then pos end) over (partition by document_id) as financial_at,
-            lead(original) over (partition by document_id order by pos) as next_original, lead(conf) over (partition by document_id order by pos) as next_conf,
+            nullif(lead(original) over (partition by document_id order by pos), '') as next_original, lead(conf) over (partition by document_id order by pos) as next_conf,
             lead(nums) over (partition by document_id order by pos) as next_nums from flagged""",
         "prepared": f"""select *, {clean_dealer(d, "concat(original, ' ', next_original)")} as joint_name from windowed""",
     }
@@ -31,8 +32,12 @@ def candidate(d, field: str, seq: str, s: str = "cast(null as varchar(200))", v:
     return d.struct(field=f"'{field}'", seq=f"cast({seq} as bigint)", s=f"cast({s.replace('varchar(200)', text)} as {text})", v=f"cast({v} as double)", conf=f"cast({conf} as double)", source=f"'{source}'")
 
 
+#: Room in `seq` for 10^6 matches of 10^3 patterns in 10^6 blocks under each strategy; fuzzy matches keep the place of their candidate.
+STRATEGY, FUZZY, FUZZY_AGAIN, FALLBACK = 10**15, 10**17, 2 * 10**17, 9 * 10**17
+
+
 def seq(strategy: int, pattern: int | str = 0, match: str = "0") -> str:
-    return f"{strategy} * 1000000000000 + pos * 1000000 + {pattern} * 1000 + {match}"
+    return f"{strategy} * {STRATEGY} + pos * 1000000000 + {pattern} * 1000000 + {match}"
 
 
 def boosted(base: str, condition: str, factor: float, most: float) -> str:
@@ -57,22 +62,17 @@ def dealer_arrays(d) -> list[str]:
     both = "joint_name"
     pair = candidate(d, "dealer_name", seq(3), s=both, conf="least(conf, next_conf) * 0.75e0", source="multiline")
     out.append(f"case when pos < 20 and next_original is not null and {capital('original')} and {capital('next_original')} and {d.size('nums')} = 0 and {d.size('next_nums')} = 0 and length({both}) > 10 and {valid_dealer(d, both)} then {d.array(pair)} end")
-    last = candidate(d, "dealer_name", seq(9), s=own, conf="conf * 0.60e0", source="fallback")
+    last = candidate(d, "dealer_name", f"{FALLBACK} + pos", s=own, conf="conf * 0.60e0", source="fallback")
     out.append(f"case when pos < 10 and {capital('original')} and {d.matches('original', '[^ ] +[^ ]')} and {d.size('nums')} = 0 and {valid_dealer(d, own)} then {d.array(last)} end")
     return out
 
 
-def model_arrays(d, master: str | None = None) -> list[str]:
-    """C7 and C8. `master`: SQL of the array of known models, for the boost of exact ones."""
+def model_arrays(d) -> list[str]:
+    """C7 and C8, before the boost of known models."""
     out = []
 
-    def score(x: str) -> str:
-        base = boosted("conf * 0.90e0", any_of(bank.BRANDS, x, d), 1.10, 0.96)
-        known = f"array_contains({master}, {x})" if master else ""
-        return f"(case when {known} then least({base} * 1.08e0, 0.98e0) else {base} end)" if master else base
-
     def kept(values: str, p: int) -> str:
-        made = d.transform(values, lambda x, i: candidate(d, "model_name", seq(1, p, i), s=x, conf=score(x)), index=True)
+        made = d.transform(values, lambda x, i: candidate(d, "model_name", seq(1, p, i), s=x, conf=boosted("conf * 0.90e0", any_of(bank.BRANDS, x, d), 1.10, 0.96)), index=True)
         return d.keep(made, lambda c: f"length({c}.s) between 2 and 40")
 
     for p, pattern in enumerate(bank.MODEL_PATTERNS):
@@ -124,22 +124,55 @@ def cost_arrays(d) -> list[str]:
 ARRAYS = {"dealer_name": dealer_arrays, "model_name": model_arrays, "horse_power": hp_arrays, "asset_cost": cost_arrays}
 
 
-def candidates(d, fields: tuple[str, ...] = bank.FIELDS) -> dict[str, str]:
-    """candidates(document_id, field, seq, s, v, conf, source): every strategy in one generator."""
+def generated(d, fields: tuple[str, ...], name: str = "generated") -> dict[str, str]:
+    """Every strategy in one generator, and the marker of each document."""
     kind = "array<struct<field:string,seq:bigint,s:string,v:double,conf:double,source:string>>" if d.name == "spark" else "struct(field varchar, seq bigint, s varchar, v double, conf double, source varchar)[]"
     empty = f"cast({'array()' if d.name == 'spark' else '[]'} as {kind})"
-    every = [f"coalesce({a}, {empty})" for f in fields for a in ARRAYS[f](d)]
-    return {"candidates": f"select document_id, c.field as field, c.seq as seq, c.s as s, c.v as v, c.conf as conf, c.source as source from (select * from prepared) p {d.explode(d.concat(*every), 'c')}"}
+    marker = f"case when pos = 0 then {d.array(candidate(d, '', '0', conf='0e0', source=''))} end"
+    every = [f"coalesce({a}, {empty})" for a in [marker, *(a for f in fields for a in ARRAYS[f](d))]]
+    return {name: f"select document_id, c.field as field, c.seq as seq, c.s as s, c.v as v, c.conf as conf, c.source as source from (select * from prepared) p {d.explode(d.concat(*every), 'c')}"}
+
+
+def fuzzy_dealers(d, source: str = "generated") -> dict[str, str]:
+    """Each distinct dealer candidate of a document against master_dealers(dealer), the best above 75; the matched name once more, matched with itself.
+
+    Distinct names are joined with the masters whose length can score above 75, by an equi-join on the length, and only then compared.
+    """
+    low, high = "cast(ceil(0.6e0 * length(mw)) as bigint)", "cast(floor(length(mw) / 0.6e0) as bigint)"
+    return {
+        "firsts": f"select document_id, s, {d.first_by('conf', 'seq')} as conf, min(seq) as seq from {source} where field = 'dealer_name' and seq < {FALLBACK} group by document_id, s",
+        "distinct_values": f"select s, {fuzzy.sorted_words(d, 's')} as sw from (select distinct s from firsts) x",
+        "masters": f"select m, {fuzzy.sorted_words(d, 'm')} as mw from (select distinct dealer as m from master_dealers) x",
+        "masters_by_length": f"select m, mw, n from (select m, mw, {d.sequence(low, high)} as ns from masters where length(mw) > 0) x {d.explode('ns', 'n')}",
+        "scored": f"select s, m, {fuzzy.ratio(d, 'mw', 'sw')} as pct from distinct_values join masters_by_length on n = length(sw)",
+        "nearest": f"select s, {d.first_by('m', d.struct(a='-pct', b='m'))} as m, max(pct) as pct from scored group by s having max(pct) > 75",
+        "matches": "select f.document_id, f.s, n.m, n.pct, f.seq, least(f.conf * (n.pct / 90), 0.97e0) as conf from firsts f join nearest n on f.s = n.s",
+        "matches_again": f"select document_id, m, min(seq) as seq, {d.first_by('conf', 'seq')} as conf from matches z where not exists (select 1 from firsts f where f.document_id = z.document_id and f.s = z.m) group by document_id, m",
+    }
+
+
+def candidates(d, fields: tuple[str, ...] = bank.FIELDS, masters: bool = False) -> dict[str, str]:
+    """candidates(document_id, field, seq, s, v, conf, source). `masters`: the tables master_dealers(dealer) and master_models(model) are there, for C5 and the boost of known models in C7."""
+    if not masters:
+        return generated(d, fields, "candidates")
+    known = f"g.field = 'model_name' and g.seq < {2 * STRATEGY} and k.known is not null"
+    none = "cast(null as double)"
+    return {
+        **generated(d, fields), **fuzzy_dealers(d), "known_models": "select distinct model as known from master_models",
+        "candidates": f"""select g.document_id, g.field, g.seq, g.s, g.v, case when {known} then least(g.conf * 1.08e0, 0.98e0) else g.conf end as conf, g.source from generated g left join known_models k on g.s = k.known
+            union all select document_id, 'dealer_name', seq + {FUZZY}, m, {none}, conf, 'fuzzy_match' from matches
+            union all select document_id, 'dealer_name', seq + {FUZZY_AGAIN}, m, {none}, least(conf * (100e0 / 90), 0.97e0), 'fuzzy_match' from matches_again""",
+    }
 
 
 def best(d) -> dict[str, str]:
     """Candidates of one value count once, with their best score and first place; then the best score, first place.
 
-    The dealer fallback (strategy 9) counts only where nothing else was found.
+    The dealer fallback counts only where nothing else was found.
     """
     order = lambda *by: f"{d.struct(**{f'o{i}': b for i, b in enumerate(by)})}"
     return {
-        "ranked": "select *, seq >= 9000000000000 as fallback from candidates",
+        "ranked": f"select *, seq >= {FALLBACK} as fallback from candidates",
         "by_value": f"""select document_id, field, fallback, s, v, max(conf) as conf, min(case when field in ('dealer_name', 'model_name') then null else seq end) as first_seq,
             {d.first_by('source', order('-conf', 'seq'))} as source, {d.first_by('seq', order('-conf', 'seq'))} as best_seq from ranked group by document_id, field, fallback, s, v""",
         "best": f"""select document_id, field, {d.first_by('s', order('fallback', '-conf', 'coalesce(first_seq, best_seq)'))} as s, {d.first_by('v', order('fallback', '-conf', 'coalesce(first_seq, best_seq)'))} as v,
@@ -148,26 +181,26 @@ def best(d) -> dict[str, str]:
     }
 
 
-def fields(d, source: str = "invoice_blocks") -> dict[str, str]:
+def fields(d, source: str = "invoice_blocks", masters: bool = False) -> dict[str, str]:
     """extracted(document_id, dealer_name, dealer_conf, ...): every document of the source, also ones without text."""
     pick = lambda f, c: f"max(case when field = '{f}' then {c} end)"
     return {
-        **prepared(d, source), **candidates(d), **best(d),
-        "documents_seen": f"select distinct document_id from {source}",
-        "extracted": f"""select u.document_id, {pick('dealer_name', 's')} as dealer_name, coalesce({pick('dealer_name', 'conf')}, 0e0) as dealer_conf,
+        **prepared(d, source), **candidates(d, masters=masters), **best(d),
+        "extracted": f"""select document_id, {pick('dealer_name', 's')} as dealer_name, coalesce({pick('dealer_name', 'conf')}, 0e0) as dealer_conf,
             {pick('model_name', 's')} as model_name, coalesce({pick('model_name', 'conf')}, 0e0) as model_conf, {pick('horse_power', 'v')} as horse_power, coalesce({pick('horse_power', 'conf')}, 0e0) as hp_conf,
             cast({pick('asset_cost', 'v')} as bigint) as asset_cost, coalesce({pick('asset_cost', 'conf')}, 0e0) as cost_conf
-            from documents_seen u left join best b on u.document_id = b.document_id group by u.document_id""",
+            from best group by document_id""",
     }
 
 
 SHORT = {"dealer_name": "dealer", "model_name": "model", "horse_power": "hp", "asset_cost": "cost"}
 
 
-def overall(prefix: str = "") -> str:
-    """Weighted mean of the confidences of the fields that are there."""
-    top = " + ".join(f"case when {prefix}{f} is not null then {w}e0 * {prefix}{SHORT[f]}_conf else 0e0 end" for f, w in list(bank.WEIGHTS.items())[:4])
-    weight = " + ".join(f"case when {prefix}{f} is not null then {w}e0 else 0e0 end" for f, w in list(bank.WEIGHTS.items())[:4])
+def overall(prefix: str = "", boxes: bool = False) -> str:
+    """Weighted mean of the confidences of the fields that are there; with `boxes`, of signature and stamp too."""
+    there = {f: (f"{prefix}{f} is not null", f"{prefix}{SHORT[f]}_conf") for f in bank.FIELDS} | {s: (f"coalesce({prefix}{s}_present, false)", f"{prefix}{s}_conf") for s in ("signature", "stamp") if boxes}
+    top = " + ".join(f"case when {is_there} then {bank.WEIGHTS[f]}e0 * {conf} else 0e0 end" for f, (is_there, conf) in there.items())
+    weight = " + ".join(f"case when {is_there} then {bank.WEIGHTS[f]}e0 else 0e0 end" for f, (is_there, _) in there.items())
     return f"case when ({weight}) = 0 then 0e0 else ({top}) / ({weight}) end"
 
 

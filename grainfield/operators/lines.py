@@ -18,3 +18,13 @@ def line_groups(d, source: str = "invoice_blocks", most: int = 15) -> dict[str,
             union all select p.document_id, p.n, p.idx, p.x1, case when p.y1 - f.anchor > {most} then p.y1 else f.anchor end, case when p.y1 - f.anchor > {most} then f.line_no + 1 else f.line_no end
             from f join page p on p.document_id = f.document_id and p.n = f.n + 1) select document_id, idx, line_no, x1 from f""",
     }
+
+
+def sequence(d, source: str = "invoice_blocks") -> dict[str, str]:
+    """sequences(document_id, text): the words of a line from left to right, lines joined by a slash."""
+    return {
+        **line_groups(d, source),
+        "placed_blocks": f"select l.document_id, l.line_no, l.x1, l.idx, b.text from lined l join {source} b on l.document_id = b.document_id and l.idx = b.idx",
+        "one_line": f"select document_id, line_no, {d.ordered_join('text', d.struct(a='x1', b='idx'), ' ')} as line from placed_blocks group by document_id, line_no",
+        "sequences": f"select document_id, {d.ordered_join('line', 'line_no', ' / ')} as text from one_line group by document_id",
+    }

@@ -129,4 +129,4 @@ def completeness() -> dict[str, str]:
 def validated_boxes(source: str = "by_class") -> dict[str, str]:
     """The box rules: a boost for a box, one for a usual area, then the clip."""
     usual = " or ".join(f"(class_name = '{c}' and (x2 - x1) * (y2 - y1) between {low} and {high})" for c, (low, high) in BOX_AREAS.items())
-    return {"box_rules": f"select doc, class_name, confidence, {clip(f'confidence * 1.10e0 * (case when {usual} then 1.08e0 else 1e0 end)')} as adjusted, ({usual}) as usual_size from {source}"}
+    return {"box_rules": f"select *, {clip(f'confidence * 1.10e0 * (case when {usual} then 1.08e0 else 1e0 end)')} as adjusted, ({usual}) as usual_size from {source}"}

@@ -14,6 +14,9 @@ from ..operators import extract as E
 from ..operators import detect as D
 from ..operators import evaluate as A
 from ..operators import lines as L
+from ..operators import normalize as N
+from ..operators import process as P
+from ..operators import report as R
 from ..operators import validate as V
 from ..operators import vlm as M
 from . import fixtures as X
@@ -42,18 +45,18 @@ CONFS = "dealer_conf", "model_conf", "hp_conf", "cost_conf"
 
 @plan
 def prepare_blocks(d):
-    return query(d, {**X.blocks(d), **E.prepared(d)}, f"select document_id, idx, cast(pos as bigint) as pos, original, text, {d.size('nums')} as n_nums, coalesce({d.get('nums', 0)}, -1e0) as first_num, has_currency, has_suffix, kw_dealer, kw_model, kw_specs, kw_financial, next_original from prepared")
+    return query(d, {**X.blocks(d), **E.prepared(d)}, f"select document_id, idx, cast(pos as bigint) as pos, original, text, {d.size('nums')} as n_nums, coalesce({d.get('nums', 0)}, -1e0) as first_num, has_currency, has_suffix, kw_dealer, kw_model, kw_specs, kw_financial, next_original from prepared where original <> ''")
 
 
 def _candidate_plan(field: str, name: str):
     def build(d):
-        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,))}, f"select document_id, seq, s, v, {d.round6('conf')} as conf, source from candidates")
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,))}, f"select document_id, seq, s, v, {d.round6('conf')} as conf, source from candidates where field <> ''")
 
     build.__name__ = name
     plan(build)
 
     def top(d):
-        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,)), **E.best(d)}, f"select document_id, s, v, {d.round6('conf')} as conf, source from best")
+        return query(d, {**X.blocks(d), **E.prepared(d), **E.candidates(d, (field,)), **E.best(d)}, f"select document_id, s, v, {d.round6('conf')} as conf, source from best where field <> ''")
 
     top.__name__ = name.replace("candidates", "top1")
     plan(top)
@@ -80,7 +83,7 @@ def light_validation(d):
 
 @plan
 def section_blocks(d):
-    return query(d, {**X.blocks(d), **E.prepared(d)}, "select document_id, idx, original, pos between specs_at and specs_at + 5 as in_specs, pos between financial_at and financial_at + 7 as in_financial from prepared where pos between specs_at and specs_at + 5 or pos between financial_at and financial_at + 7")
+    return query(d, {**X.blocks(d), **E.prepared(d)}, "select document_id, idx, original, pos between specs_at and specs_at + 5 as in_specs, pos between financial_at and financial_at + 7 as in_financial from prepared where original <> '' and (pos between specs_at and specs_at + 5 or pos between financial_at and financial_at + 7)")
 
 
 def _validated(d) -> dict[str, str]:
@@ -187,24 +190,22 @@ def extract_numbers_indian(d):
     return query(d, _priced(d), f"select document_id, idx, n as number from texts {d.explode(S.numbers(d, 'text'), 'n')}")
 
 
+def _boxes(d) -> dict[str, str]:
+    return {**X.detections(d), **D.filtered()}
+
+
 def _evaluated(d, inner: bool) -> dict[str, str]:
-    flags = "select document_id, dealer_name, model_name, horse_power, cast(asset_cost as double) as asset_cost, cast(substring(document_id, 5) as bigint) % 20 = 10 as signature_present, cast(substring(document_id, 5) as bigint) % 30 = 10 as stamp_present, cast(substring(document_id, 5) as bigint) % 40 = 10 as signature_boxed, true as stamp_boxed from extracted"
-    return {**X.blocks(d), **X.truth(d), **E.fields(d), "extracted_eval": flags, **A.compared(d, inner)}
+    return {**X.blocks(d), **X.truth(d), **E.fields(d), **_boxes(d), **D.kept_boxes(d), **D.summary(d), **P.flags(), **A.compared(d, inner)}
 
 
 @plan
 def document_accuracy(d):
-    total = "cast(count(*) as double)"
-    right = d.count_if("is_correct")
-    return query(
-        d, {**_evaluated(d, False), **A.judged()},
-        f"select cast(count(*) as bigint) as total, {right} as correct, {d.count_if('not is_correct and is_partial')} as partially_correct, {d.count_if('not is_correct and not is_partial')} as incorrect, round(100 * {right} / {total}, 2) as dla_percent, 100 * {right} / {total} >= 95 as meets_target from judged",
-    )
+    return query(d, {**_evaluated(d, False), **A.judged()}, A.accuracy(d))
 
 
 @plan
 def field_prf1(d):
-    return query(d, {**_evaluated(d, True), **A.outcomes(d)}, "select field, tp, fp, fn, round(p, 3) as precision_, round(r, 3) as recall_, round(case when p + r > 0 then 2 * p * r / (p + r) else 0e0 end, 3) as f1 from scored")
+    return query(d, {**_evaluated(d, True), **A.outcomes(d)}, A.METRICS)
 
 
 @plan
@@ -226,18 +227,14 @@ def similarity_ratio(d):
 @plan
 def dealer_fuzzy_master(d):
     """Every distinct dealer candidate against the master names, best score above 75; the matched name once more."""
-    steps = {
-        **X.blocks(d), **E.prepared(d), **E.candidates(d, ("dealer_name",)),
-        "master": f"select m, {F_.sorted_words(d, 'm')} as mw from (select distinct concat(nm, ' ', sfx) as m from header) x",
-        "distinct_values": f"select s, {F_.sorted_words(d, 's')} as sw from (select distinct s from candidates where seq < 9000000000000) x",
-        # A longer difference in length than this can't score above 75, so nothing is lost.
-        "scored": f"select s, m, {F_.ratio(d, 'mw', 'sw')} as pct from distinct_values join master on 200e0 * least(length(sw), length(mw)) >= 75 * (length(sw) + length(mw))",
-        "matched": f"select s, {d.first_by('m', d.struct(a='-pct', b='m'))} as m, max(pct) as pct from scored group by s having max(pct) > 75",
-        "firsts": f"select document_id, s, {d.first_by('conf', 'seq')} as conf, min(seq) as seq from candidates where seq < 9000000000000 group by document_id, s",
-        "fuzzy": "select f.document_id, f.s, m.m, m.pct, f.seq, least(f.conf * (m.pct / 90), 0.97e0) as conf from firsts f join matched m on f.s = m.s",
-        "again": f"select document_id, m, min(seq) as seq, {d.first_by('conf', 'seq')} as conf from fuzzy z where not exists (select 1 from firsts f where f.document_id = z.document_id and f.s = z.m) group by document_id, m",
-    }
-    return query(d, steps, "select document_id, s as candidate, m as matched, pct, round(conf, 6) as conf from fuzzy union all select document_id, m, m, 100e0, round(least(conf * (100e0 / 90), 0.97e0), 6) from again")
+    steps = {**X.blocks(d), **X.masters(d), **E.prepared(d), **E.generated(d, ("dealer_name",)), **E.fuzzy_dealers(d)}
+    return query(d, steps, "select document_id, s as candidate, m as matched, pct, round(conf, 6) as conf from matches union all select document_id, m, m, 100e0, round(least(conf * (100e0 / 90), 0.97e0), 6) from matches_again")
+
+
+@plan
+def extract_fields_master(d):
+    """C1 with master data: C5 among the strategies, and the boost of known models."""
+    return query(d, {**X.blocks(d), **X.masters(d), **E.fields(d, masters=True)}, f"select document_id, dealer_name, model_name, horse_power, asset_cost, {rounded(d, *CONFS)}, {d.round6(E.overall())} as overall_confidence from extracted")
 
 
 @plan
@@ -247,12 +244,7 @@ def line_groups(d):
 
 @plan
 def text_sequence(d):
-    steps = {**X.blocks(d, jitter=True), **L.line_groups(d), "joined": "select l.document_id, l.line_no, l.x1, l.idx, b.text from lined l join invoice_blocks b on l.document_id = b.document_id and l.idx = b.idx"}
-    steps["one_line"] = f"select document_id, line_no, {d.ordered_join('text', d.struct(a='x1', b='idx'), ' ')} as line from joined group by document_id, line_no"
-    return query(d, steps, f"select document_id, {d.ordered_join('line', 'line_no', ' / ')} as text from one_line group by document_id")
-
-
-_boxes = lambda d: {**X.detections(d), **D.filtered()}
+    return query(d, {**X.blocks(d, jitter=True), **L.sequence(d)}, "select document_id, text from sequences")
 
 
 @plan
@@ -272,10 +264,8 @@ def iou_pairs(d):
 
 @plan
 def detection_summary(d):
-    pick = lambda c, k: f"max(case when class_name = '{k}' then {c} end)"
-    columns = ", ".join(f"{pick('n', k)} is not null as {k}_present, coalesce({pick('n', k)}, 0) as {k}_count, coalesce({pick('confidence', k)}, 0e0) as {k}_confidence, round({pick('iou', k)}, 6) as {k}_iou" for k in ("signature", "stamp"))
-    passes = " and ".join(f"coalesce({pick('iou', k)}, 0e0) > 0.5e0" for k in ("signature", "stamp"))
-    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d)}, f"select doc, {columns}, case when doc % 3 <> 0 then {passes} end as passes_threshold from matched group by doc")
+    columns = ", ".join(f"{k}_present, {k}_count, {k}_confidence, round({k}_iou, 6) as {k}_iou, {k}_x1, {k}_y1, {k}_x2, {k}_y2" for k in D.CLASSES)
+    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d)}, f"select doc, {columns}, passes_threshold from box_summary")
 
 
 @plan
@@ -285,8 +275,15 @@ def yolo_labels(d):
 
 @plan
 def ordered_split(d):
-    steps = {**X.detections(d), "images": "select distinct doc from detections", "numbered": "select doc, row_number() over (order by doc) as n, count(*) over () as total from images"}
-    return query(d, steps, "select doc, case when n <= floor(total * 0.8e0) then 'train' else 'val' end as part from numbered")
+    return query(d, {**X.detections(d), **D.split()}, "select doc, part from parts")
+
+
+@plan
+def annotated_images(d):
+    """Images with the boxes that their annotations give them, also images without any."""
+    counts = ", ".join(f"{d.count_if(f'class_name = {chr(39)}{k}{chr(39)}')} as {k}s" for k in D.CLASSES)
+    steps = {**X.detections(d), "noted": f"select doc, {counts} from true_boxes group by doc"}
+    return query(d, steps, f"select i.doc, {', '.join(f'coalesce(n.{k}s, 0) as {k}s' for k in D.CLASSES)}, n.doc is not null as annotated from images i left join noted n on i.doc = n.doc")
 
 
 @plan
@@ -316,56 +313,47 @@ def vlm_fallback_flag(d):
 
 @plan
 def vlm_merge(d):
-    text = "string" if d.name == "spark" else "varchar"
-    steps = {**_validated(d), **X.truth(d), "joined": "select c.*, t.dealer_name as v_dealer_name, t.model_name as v_model_name, t.horse_power as v_horse_power, t.asset_cost as v_asset_cost from crossed c left join invoice_truth t on c.document_id = t.document_id"}
-    cols, confs = [], []
-    for f, c in E.SHORT.items():
-        m = M.merged(f, f"{c}_conf", f"cast({f} as double)" if f == "asset_cost" else f, f"v_{f}", text=text)
-        cols += [f"{m['value']} as {f}", f"{d.round6(m['conf'])} as {c}_conf", f"{m['source']} as {c}_source"]
-        confs.append((m["value"], m["conf"]))
-    n = " + ".join(f"case when ({v}) is not null then 1 else 0 end" for v, _ in confs)
-    top = " + ".join(f"case when ({v}) is not null then ({x}) else 0e0 end" for v, x in confs)
-    return query(d, steps, f"select document_id, {', '.join(cols)}, {d.round6(f'case when ({n}) > 0 then ({top}) / ({n}) else 0e0 end')} as overall_confidence from joined")
+    return query(d, {**_validated(d), **X.truth(d), **M.merge(d, "crossed", "invoice_truth")}, "select * from merged_fields")
+
+
+def _results(d) -> dict[str, str]:
+    return {**X.eval_results(d), **R.successes()}
 
 
 @plan
 def confidence_distribution(d):
-    x = "coalesce(confidence, 0e0)"
-    bands = ", ".join(f"{d.count_if(c)} as {n}" for n, c in (("high", f"{x} >= 0.9e0"), ("medium", f"{x} >= 0.7e0 and {x} < 0.9e0"), ("low", f"{x} < 0.7e0")))
-    over = ", ".join(f"{d.count_if(f'{x} >= 0.{k}e0')} as over_{k}" for k in ("95", "9", "8", "7"))
-    return query(d, X.eval_results(d), f"select cast(count(*) as bigint) as n, {A.spread(x)}, {bands}, {over}, round(100e0 * {d.count_if(f'{x} >= 0.9e0')} / count(*), 1) as high_percent from eval_results")
+    return query(d, _results(d), R.confidence(d))
 
 
 @plan
 def confidence_histogram(d):
-    """Twenty equal bins from least to most, the last one closed."""
-    steps = {**X.eval_results(d), "ends": "select min(confidence) as lo, max(confidence) as hi from eval_results", "binned": "select least(cast(floor((confidence - lo) / (hi - lo) * 20) as bigint), 19) as bin from eval_results cross join ends"}
-    return query(d, steps, "select bin, cast(count(*) as bigint) as n from binned group by bin")
+    return query(d, {**_results(d), **R.histogram()}, "select bin, n from bins")
+
+
+@plan
+def time_against_confidence(d):
+    """K8: the points of the scatter plot."""
+    return query(d, _results(d), "select doc_id, sec, conf from successes")
 
 
 @plan
 def performance_metrics(d):
-    parts = ", ".join(f"round(avg({c}_time_sec), 6) as {c}_mean, round(100e0 * avg({c}_time_sec) / avg(processing_time_sec), 4) as {c}_percent" for c in ("ocr", "extraction", "detection", "vlm"))
-    return query(d, X.eval_results(d), f"select {A.spread('processing_time_sec')}, {d.count_if('processing_time_sec <= 30')} as within_30s, {parts}, {d.count_if('vlm_used')} as vlm_used, round(3600e0 / avg(processing_time_sec), 4) as docs_per_hour from eval_results")
+    return query(d, _results(d), R.performance(d))
 
 
 @plan
 def cost_metrics(d):
-    x = "cost_estimate_usd"
-    buckets = ", ".join(f"{d.count_if(c)} as {n}" for n, c in (("under_001", f"{x} < 0.001e0"), ("under_005", f"{x} >= 0.001e0 and {x} < 0.005e0"), ("under_010", f"{x} >= 0.005e0 and {x} < 0.01e0"), ("over_010", f"{x} >= 0.01e0")))
-    return query(d, X.eval_results(d), f"select {A.spread(x)}, round(sum({x}), 4) as total, {buckets}, avg({x}) <= 0.01e0 as meets_target from eval_results")
+    return query(d, _results(d), R.cost(d))
 
 
 @plan
 def error_analysis(d):
-    rows = [("class", A.ERROR_CLASS.format(x="error"), "status = 'failed'"), ("issue", "'low_confidence'", "status = 'success' and confidence < 0.7e0"), ("issue", "'high_processing_time'", "status = 'success' and processing_time_sec > 30"), ("issue", "'high_cost'", "status = 'success' and cost_estimate_usd > 0.01e0")]
-    return query(d, X.eval_results(d), " union all ".join(f"select '{k}' as kind, {v} as name, cast(count(*) as bigint) as n from eval_results where {w} group by {v}" for k, v, w in rows))
+    return query(d, _results(d), R.errors(d))
 
 
 @plan
 def error_samples(d):
-    """The twenty results of lowest confidence, in input order where equal; a top-k report."""
-    return query(d, X.eval_results(d), f"select doc_id, round(coalesce(confidence, 0e0), 6) as confidence, round(processing_time_sec, 6) as processing_time, status, case when status = 'failed' then {A.ERROR_CLASS.format(x='error')} end as error_class from eval_results order by coalesce(confidence, 0e0), doc_id limit 20")
+    return query(d, _results(d), R.samples(d))
 
 
 @plan
@@ -373,65 +361,43 @@ def field_issues(d):
     return query(d, _evaluated(d, True), f"select document_id, {A.field_issues(d)} as issues from extracted_eval")
 
 
-def _summary_steps(d) -> dict[str, str]:
-    success = d.count_if("status = 'success'")
-    return {
-        **X.eval_results(d),
-        "keys": f"""select avg(confidence) as c, avg(processing_time_sec) as t, avg(cost_estimate_usd) as k, 100e0 * {success} / count(*) as s, count(*) as n, {d.count_if("status = 'failed'")} as failed,
-            100e0 * {d.count_if('confidence < 0.7e0')} / count(*) as low_percent, {d.count_if('processing_time_sec <= 30')} as in_time, {d.count_if('vlm_used')} as vlm from eval_results""",
-        "targets": "select *, c >= 0.95e0 as t1, t <= 30 as t2, k <= 0.01e0 as t3, round(s, 1) >= 95 as t4 from keys",
-        "reached": "select *, cast(t1 as int) + cast(t2 as int) + cast(t3 as int) + cast(t4 as int) as m from targets",
-    }
-
-
 @plan
 def executive_summary(d):
-    return query(d, _summary_steps(d), "select round(c, 3) as average_confidence, round(t, 3) as average_time, round(k, 6) as average_cost, round(s, 1) as success_rate, t1 as confidence_target, t2 as time_target, t3 as cost_target, t4 as success_target, case when m = 4 then 'EXCELLENT - All targets achieved' when m >= 3 then 'GOOD - Most targets achieved' when m >= 2 then 'FAIR - Some targets achieved' else 'NEEDS IMPROVEMENT - Few targets achieved' end as assessment from reached")
+    return query(d, {**_results(d), **R.summary(d)}, R.executive(d))
 
 
 @plan
 def recommendations(d):
-    advice = d.array(
-        "case when low_percent > 20 then 'Improve OCR accuracy for low-quality scans using better preprocessing' end",
-        "case when in_time < n * 0.9e0 then 'Optimize VLM usage - only use when confidence is very low to reduce processing time' end",
-        "case when failed > n * 0.1e0 then 'Add retry logic for failed OCR attempts with different preprocessing parameters' end",
-        "case when vlm > n * 0.3e0 then 'Reduce VLM dependency by improving rule-based extraction patterns' end",
-        "'Implement active learning to improve model with difficult cases'", "'Add more language-specific patterns for Hindi and Gujarati documents'",
-        "'Optimize YOLO model with more signature/stamp training data'", "'Implement caching for frequently seen document templates'",
-    )
-    return query(d, _summary_steps(d), f"select cast(place as bigint) as place, advice from (select * from reached) r {d.explode(d.keep(advice, lambda v: f'{v} is not null'), 'advice', 'place')}")
+    return query(d, {**_results(d), **R.summary(d)}, R.recommendations(d))
 
 
 def _processed(d) -> dict[str, str]:
-    """Results of the whole pipeline: validated fields, flags, band, times and cost."""
-    steps = {**_validated(d), "timed": f"select *, {E.overall()} as overall, 100e0 + cast(substring(document_id, 5) as bigint) % 900 as ms, cast(substring(document_id, 5) as bigint) % 170 = 0 as broken from crossed"}
-    steps["results"] = f"select *, case when broken then 'failed' else 'success' end as status, {S.cost_estimate('ms')} as cost_usd, cast(substring(document_id, 5) as bigint) % 20 = 10 as signature_present, cast(substring(document_id, 5) as bigint) % 30 = 10 as stamp_present from timed"
-    return steps
+    return {**X.blocks(d), **X.detections(d), **X.timings(d), **P.plan(d)}
+
+
+@plan
+def process_documents(d):
+    """The whole pipeline, one row for each image."""
+    confs = ", ".join(f"{d.round6(f'{c}_conf')} as {c}_conf" for c in (*E.SHORT.values(), *D.CLASSES))
+    return query(d, _processed(d), f"select document_id, status, error, dealer_name, model_name, horse_power, asset_cost, signature_present, stamp_present, {confs}, {d.round6('overall')} as overall_confidence, round(total_ms, 6) as total_ms, round(cost_usd, 12) as cost_usd, case when overall >= 0.85e0 then 'high' when overall >= 0.65e0 then 'medium' else 'low' end as band from results")
 
 
 @plan
 def batch_summary(d):
-    ok = "status = 'success'"
-    rate = lambda c: f"round({d.count_if(f'{ok} and {c}')} / cast({d.count_if(ok)} as double), 6)"
-    only = lambda c: f"case when {ok} then {c} end"
-    fields = ", ".join(f"{rate(f'{f} is not null')} as {f}_rate" for f in bank.FIELDS)
-    return query(
-        d, _processed(d),
-        f"select cast(count(*) as bigint) as total_documents, {d.count_if(ok)} as successful, {d.count_if(f'not ({ok})')} as failed, round(avg({only('overall')}), 6) as mean_confidence, round(min({only('overall')}), 6) as min_confidence, round(max({only('overall')}), 6) as max_confidence, "
-        f"{d.count_if(f'{ok} and overall >= 0.85e0')} as high_count, {d.count_if(f'{ok} and overall >= 0.65e0 and overall < 0.85e0')} as medium_count, {d.count_if(f'{ok} and overall < 0.65e0')} as low_count, "
-        f"round(avg({only('ms')}), 6) as mean_ms, round(sum({only('ms')}) / 1000, 6) as total_sec, round(sum({only('cost_usd')}), 9) as total_usd, {fields}, {rate('signature_present')} as signature_rate, {rate('stamp_present')} as stamp_rate from results",
-    )
+    return query(d, _processed(d), R.batch(d))
 
 
 @plan
 def public_output(d):
-    confs = ", ".join(f"round({c}_conf, 4) as {c}_confidence" for c in E.SHORT.values())
-    return query(d, _processed(d), f"select document_id, dealer_name, model_name, horse_power, asset_cost, {confs}, nullif(round(case when signature_present then 0.5e0 else 0e0 end, 4), 0) as signature_iou, round(overall, 4) as overall_confidence, round(ms, 2) as processing_time_ms, status from results")
+    confs = ", ".join(f"round({c}_conf, 4) as {c}_confidence" for c in (*E.SHORT.values(), *D.CLASSES))
+    boxes = ", ".join(f"{k}_present, nullif(round({k}_iou, 4), 0) as {k}_iou, {k}_x1, {k}_y1, {k}_x2, {k}_y2" for k in D.CLASSES)
+    return query(d, _processed(d), f"select document_id, dealer_name, model_name, horse_power, asset_cost, {confs}, {boxes}, round(overall, 4) as overall_confidence, round(total_ms, 2) as processing_time_ms, status from results")
 
 
 @plan
 def cost_estimate(d):
-    return query(d, _processed(d), f"select document_id, round({S.cost_estimate('ms')}, 12) as cpu_usd, round({S.cost_estimate('ms', gpu=True)}, 12) as gpu_usd from results")
+    total = "(ocr_ms + extraction_ms + detection_ms + validation_ms)"
+    return query(d, X.timings(d), f"select document_id, round({S.cost_estimate(total)}, 12) as cpu_usd, round({S.cost_estimate(total, gpu=True)}, 12) as gpu_usd from timings")
 
 
 @plan
@@ -476,7 +442,7 @@ def full_text(d):
 @plan
 def conversation_text(d):
     """A21 over conversations: turns in order."""
-    return query(d, {}, f"select conv_id, {d.ordered_join('text', 'turn', ' ')} as text from {d.table('conversations')} where conv_id is not null group by conv_id").replace("with \n", "")
+    return query(d, {}, f"select conv_id, {d.ordered_join('text', 'turn', ' ')} as text from {d.table('conversations')} where conv_id is not null group by conv_id")
 
 
 @plan
@@ -495,15 +461,20 @@ def stage_stats(d):
 
 @plan
 def preprocess_params(d):
-    """settings by image area."""
-    return query(d, _boxes(d), "select doc, det_idx, case when area * 20000 > 4000000 then 'large' when area * 20000 > 1000000 then 'medium' else 'small' end as band from boxes")
+    """settings by image area, at the size of the image and of a scan four times as wide."""
+    band = lambda a: f"case when {a} > 4000000 then 'very large' when {a} > 1000000 then 'large' else 'small' end"
+    return query(d, X.detections(d), f"select doc, {band('width * height')} as band, {band('width * height * 16')} as scan_band from images")
 
 
 @plan
 def llm_prompt(d):
-    """the context cut to 300 characters inside the prompt; the cut is the feature."""
-    steps = {**X.blocks(d), "full_texts": f"select document_id, {d.ordered_join('text', 'idx', ' ')} as text from invoice_blocks group by document_id"}
-    return query(d, steps, "select document_id, concat('Extract dealer_name, model_name, horse_power, asset_cost as JSON from: ', substring(text, 1, 300)) as prompt from full_texts")
+    """the prompt of the document's language around the first 300 characters of its text, a limit of the prompt itself."""
+    lang = S.language_alias(S.language(d, "text", ocr=True))
+    context = f"concat('OCR context: {chr(34)}', substring(text, 1, {bank.VLM_CONTEXT}), '...{chr(34)}')"
+    text = lambda s: " || chr(10) || ".join(f"'{line}'" for line in s.split(chr(10)))
+    when = " ".join(f"when '{k}' then {text(p)}" for k, p in bank.VLM_PROMPTS.items())
+    steps = {**X.blocks(d), "full_texts": f"select document_id, {d.ordered_join('text', 'idx', ' ')} as text from invoice_blocks group by document_id", "spoken": f"select document_id, text, {lang} as language from full_texts"}
+    return query(d, steps, f"select document_id, replace(case language {when} end, '{{context}}', case when text = '' then '' else {context} end) as prompt from spoken")
 
 
 @plan
@@ -514,7 +485,7 @@ def document_ids(d):
 
 @plan
 def validate_boxes(d):
-    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d), **V.validated_boxes()}, "select doc, class_name, confidence, round(adjusted, 6) as adjusted, usual_size from box_rules")
+    return query(d, {**_boxes(d), **D.kept_boxes(d), **D.summary(d)}, "select doc, class_name, confidence, round(adjusted, 6) as adjusted, usual_size from box_rules")
 
 
 @plan
@@ -522,6 +493,19 @@ def language_aliases(d):
     return query(d, {"codes": f"select distinct lang as code from {d.table('documents')} union all select x from {d.values('x', "('HI'), ('Guj'), ('english'), ('xx')")} v"}, f"select code, {S.language_alias('code')} as language from codes")
 
 
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14b with F1's Unicode composition, which has no SQL: its twin goes without, as the tables' text is composed already."""
+    from ..api import normalize_blocks
+
+    blocks = spark.sql(query(Spark(sf_dir), X.blocks(Spark(sf_dir)), "select document_id, idx, text, confidence from invoice_blocks"))
+    return normalize_blocks(blocks).selectExpr(*NORMALIZED.split(", "), "cast(size(numbers) as bigint) as n_numbers")
+
+
+NORMALIZED = "document_id, idx, text, confidence, normalized_text, horse_power, model_name, language, has_currency, " + ", ".join(f"kw_{k}" for k in bank.KEYWORDS)
+QUERIES["normalize_blocks"] = _normalized
+ORACLES["normalize_blocks"] = query(Duck(), {**X.blocks(Duck()), "composed_blocks": "select *, text as composed from invoice_blocks", **N.normalized(Duck(), "composed_blocks")}, f"select {NORMALIZED}, cast(len(numbers) as bigint) as n_numbers from normalized_blocks")
+
+
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..streaming.progress import progress
 

@@ -45,11 +45,32 @@ def truth(d) -> dict[str, str]:
 
 
 def detections(d) -> dict[str, str]:
-    """detections(doc, det_idx, class_name, confidence, x1, y1, x2, y2) on images of 600 x 400."""
-    return {"detections": f"""select doc, det_idx, class_name, confidence, x1, y1, x1 + 40e0 + (det_idx * 7) % 80 as x2, y1 + 20e0 + (det_idx * 11) % 50 as y2 from
-        (select cast(vec_id % 25 as int) as doc, vec_id as det_idx, case when label % 2 = 0 then 'signature' else 'stamp' end as class_name,
-        cast(30 + (vec_id * 37 + label * 11) % 70 as double) / 100 as confidence, cast((vec_id * 53) % 400 as double) as x1, cast((vec_id * 29) % 300 as double) as y1
-        from {d.table('embeddings')} where vec_id is not null and label is not null) t"""}
+    """images(doc, width, height): one for each order; detections(doc, det_idx, class_name, confidence, x1, y1, x2, y2): one for each line of an order;
+    true_boxes(doc, class_name, x1, y1, x2, y2): truth of most orders."""
+    return {
+        "images": f"select concat('inv_', o_orderkey) as doc, cast(600 + 100 * (o_orderkey % 3) as double) as width, cast(400 + 100 * (o_orderkey % 2) as double) as height from {d.table('orders')}",
+        "detections": f"""select doc, det_idx, class_name, confidence, x1, y1, x1 + 40e0 + pk % 80 as x2, y1 + 20e0 + sk % 50 as y2 from
+            (select concat('inv_', l_orderkey) as doc, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as bigint) as det_idx, l_partkey as pk, l_suppkey as sk,
+            case when l_partkey % 2 = 0 then 'signature' else 'stamp' end as class_name, cast(30 + (l_partkey * 37 + l_suppkey * 11) % 70 as double) / 100 as confidence,
+            cast((l_orderkey * 53) % 580 + l_partkey % 40 as double) as x1, cast((l_orderkey * 29) % 380 + l_suppkey % 30 as double) as y1 from {d.table('lineitem')}) t""",
+        "true_boxes": f"""select concat('inv_', o_orderkey) as doc, class_name, cast((o_orderkey * 53) % 580 + 10 as double) as x1, cast((o_orderkey * 29) % 380 + 8 as double) as y1,
+            cast((o_orderkey * 53) % 580 + 100 as double) as x2, cast((o_orderkey * 29) % 380 + 55 as double) as y2
+            from {d.table('orders')} {d.explode(d.array("'signature'", "'stamp'"), 'class_name')} where o_orderkey % 13 <> 0 and (class_name = 'signature' or o_orderkey % 4 <> 0)""",
+    }
+
+
+def timings(d) -> dict[str, str]:
+    """timings(document_id, ocr_ms, extraction_ms, detection_ms, validation_ms): what the stages took on each order's document."""
+    return {"timings": f"""select concat('inv_', o_orderkey) as document_id, 400e0 + o_custkey % 900 as ocr_ms, 20e0 + o_custkey % 100 as extraction_ms, 150e0 + o_orderkey % 200 as detection_ms, 5e0 + o_orderkey % 75 as validation_ms
+        from {d.table('orders')}"""}
+
+
+def masters(d) -> dict[str, str]:
+    """master_dealers(dealer), master_models(model): names of some of the header rows."""
+    return {
+        "master_dealers": "select distinct concat(nm, ' ', sfx) as dealer from header where sk % 4 <> 3",
+        "master_models": "select distinct concat(brand, ' ', mno) as model from header where pk % 2 = 0",
+    }
 
 
 def eval_results(d) -> dict[str, str]:
@@ -57,7 +78,9 @@ def eval_results(d) -> dict[str, str]:
     return {"eval_results": f"""select event_id as doc_id, case when event_type = 'error' then 'failed' else 'success' end as status, (event_id % 101) / 100e0 as confidence,
         value / 10 as processing_time_sec, value / 20000 as cost_estimate_usd, event_id % 4 = 0 as vlm_used,
         case when event_type = 'error' then case event_id % 5 when 0 then 'OCR failed' when 1 then 'out of memory' when 2 then 'timeout' when 3 then 'file not found' else 'boom' end end as error,
-        value / 10 * 0.6e0 as ocr_time_sec, value / 10 * 0.1e0 as extraction_time_sec, value / 10 * 0.25e0 as detection_time_sec, value / 10 * 0.05e0 as vlm_time_sec
+        value / 10 * 0.6e0 as ocr_time_sec, value / 10 * 0.1e0 as extraction_time_sec, value / 10 * 0.25e0 as detection_time_sec, value / 10 * 0.05e0 as vlm_time_sec,
+        case when event_id % 7 <> 0 then concat('Dealer ', user_id) end as dealer_name, case when event_id % 9 = 0 then '' else '575 DI' end as model_name, cast(event_id % 260 as double) as horse_power,
+        case when event_id % 5 <> 0 then 80000e0 + event_id % 100 * 60000 end as asset_cost, event_id % 2 = 0 as signature_present, event_id % 6 = 0 as signature_boxed, event_id % 3 = 0 as stamp_present, true as stamp_boxed
         from {d.table('events')}"""}
 
 

@@ -16,4 +16,4 @@ def batches(spark: SparkSession, path: str, schema: str, transform: Callable[[Da
 
 def progress(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Throughput by window and type; events later than `late` are dropped by the watermark on a stream."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+    return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), (F.round(F.sum("value") * 1e4) / 1e4).alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
