@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Memo
+from .common import Memo, no_cycles
 
 NONE = np.iinfo(np.int64).max
 CHUNK = re.compile(r"\s*\S+|\s+")
@@ -50,6 +50,7 @@ class ByteBPE:
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.pieces = Recent(400_000)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, NONE where the vocabulary has no such merge."""
@@ -167,10 +168,12 @@ class ByteBPE:
             tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of each text: its pattern's pieces, each merged on its own."""
+        """Ids of each text: its pattern's pieces, each merged on its own, and but once while it is remembered."""
+        known = self.pieces
+        known.turn()
         cut = [[p.encode("utf-8") for p in self.pattern.findall(c)] for c in chunks]
-        unique = list({p: None for pieces in cut for p in pieces})
-        known = dict(zip(unique, self.merge(unique), strict=True))
+        missing = [p for p in {p: None for pieces in cut for p in pieces} if p not in known and not known.recall(p)]
+        known.update(zip(missing, self.merge(missing), strict=True))
         return [[i for p in pieces for i in known[p]] for pieces in cut]
 
     def encode(self, text: str) -> list[int]:
@@ -184,23 +187,58 @@ def split_chunks(text: str) -> list[str]:
     return [text] if ODD.search(text) else CHUNK.findall(text)
 
 
+class Recent(dict):
+    """A dict of two generations of `limit` / 2 entries: at the turn the younger becomes the older, and entries in use come back from there."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def turn(self) -> None:
+        if 2 * len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
+    def recall(self, key) -> bool:
+        value = self.older.get(key)
+        if value is not None:
+            self[key] = value
+        return value is not None
+
+
+class Chunks(Recent):
+    """Entries [number of ids, decimal ids, decoded bytes] of chunks; new ones are empty, and pending, until filled."""
+
+    def __init__(self, limit: int):
+        super().__init__(limit)
+        self.pending: dict[str, list] = {}
+
+    def __missing__(self, chunk: str) -> list:
+        if not self.recall(chunk):
+            self[chunk] = self.pending[chunk] = []
+        return self[chunk]
+
+
 class ChunkCodec:
-    """Memo of chunks as (number of ids, decimal ids, decoded bytes), filled by the batch and bounded."""
+    """Digests of texts from their chunks, each encoded once while it is remembered."""
 
     def __init__(self, bpe: ByteBPE, limit: int = 600_000):
-        self.bpe, self.limit, self.known = bpe, limit, {}
+        self.bpe, self.known = bpe, Chunks(limit)
 
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        missing = list({c for chunks in texts for c in chunks if c not in self.known})
-        for chunk, ids in zip(missing, self.bpe.encode_chunks(missing), strict=True):
-            self.known[chunk] = len(ids), " ".join(map(str, ids)), self.bpe.decode(ids)
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        known = self.known
+        known.turn()
+        entries = [list(map(known.__getitem__, split_chunks(t))) for t in texts]
+        for entry, ids in zip(known.pending.values(), self.bpe.encode_chunks(list(known.pending)), strict=True):
+            entry += len(ids), " ".join(map(str, ids)), self.bpe.decode(ids)
+        known.pending.clear()
+        return [self._digest(e) for e in entries]
 
-    def digests(self, chunks: list[str]) -> tuple[int, str, str]:
-        if not chunks:
+    @staticmethod
+    def _digest(entries: list[list]) -> tuple[int, str, str]:
+        if not entries:
             return 0, hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"").hexdigest()
-        counts, ids, raw = zip(*map(self.known.__getitem__, chunks), strict=True)
+        counts, ids, raw = zip(*entries, strict=True)
         return sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(raw)).hexdigest()
 
 
@@ -234,9 +272,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
             ids = part.column(0)
             texts = [t or "" for t in part.column(1).to_pylist()]
             for a, b in batches_by_size(texts):
-                chunks = [split_chunks(t) for t in texts[a:b]]
-                codec.learn(chunks)
-                found = [codec.digests(c) for c in chunks]
+                with no_cycles():
+                    found = codec.digests(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), *(pa.array(col, t) for col, t in zip(zip(*found, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True))],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +53,16 @@ def fresh_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Pauses the search for reference cycles in code that makes none: it would walk all remembered entries again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Memo(dict):
     """A dict that computes missing entries and forgets everything beyond `limit`, so worker memory stays bounded."""
 
