@@ -31,7 +31,7 @@ def detector_images(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _map_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON object by key as rows (document_id, value); malformed files give no rows."""
+    """A JSON object by key as rows (document_id, value); malformed files give no rows. A file is one value on one executor, so it must fit there: truth and master data do, larger data belongs in JSON lines or Parquet."""
     text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", schema)).alias("document_id", "value"))
 
@@ -48,6 +48,12 @@ def eval_truth(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("signature_present", F.col("signature.present")).withColumn("stamp_present", F.col("stamp.present")).drop("signature", "stamp")
 
 
+def truth_boxes(truth: DataFrame) -> DataFrame:
+    """Boxes (doc, class_name, x1, y1, x2, y2) of pipeline_truth(); documents without a box of a class have no row for it."""
+    parts = [truth.select(F.col("document_id").alias("doc"), F.lit(c).alias("class_name"), *(F.get(f"{c}_bbox", F.lit(i)).alias(k) for i, k in enumerate(("x1", "y1", "x2", "y2")))) for c in ("signature", "stamp")]
+    return parts[0].union(parts[1]).filter("x1 is not null and y1 is not null and x2 is not null and y2 is not null")
+
+
 def master_data(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Known dealers and models, one column each."""
     row = spark.read.schema("dealers array<string>, models array<string>").json(path, multiLine=True)
@@ -59,6 +65,16 @@ def results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULTS).json(path, multiLine=True)
 
 
+def flat_results(rows: DataFrame) -> DataFrame:
+    """results() as the columns that evaluation reads; absent parts are null, absent flags false."""
+    flags = [F.coalesce(F.col(f"fields.{s}.present"), F.lit(False)).alias(f"{s}_present") for s in ("signature", "stamp")]
+    boxed = [F.coalesce(F.size(f"fields.{s}.bbox") > 0, F.lit(False)).alias(f"{s}_boxed") for s in ("signature", "stamp")]
+    times = [F.col(f"processing_details.{s}_time_sec").alias(f"{s}_time_sec") for s in ("ocr", "extraction", "detection", "vlm")]
+    used = F.coalesce(F.col("processing_details.vlm_used"), F.lit(False)).alias("vlm_used")
+    fields = [F.col(f"fields.{f}").alias(f) for f in ("dealer_name", "model_name", "horse_power", "asset_cost")]
+    return rows.select("doc_id", "status", "confidence", "processing_time_sec", "cost_estimate_usd", "error", used, *times, *fields, *flags, *boxed)
+
+
 def annotations(spark: SparkSession, path: str) -> DataFrame:
     """Boxes by image and class; missing or broken files give none."""
     rows = _map_rows(spark, path, "map<string,struct<signatures:array<array<double>>,stamps:array<array<double>>,image_path:string>>")
@@ -69,7 +85,7 @@ def annotations(spark: SparkSession, path: str) -> DataFrame:
 def read_text(pictures: DataFrame, engine: Callable[[str, bytes], Iterator[dict]] | None = None) -> DataFrame:
     """Blocks of each image by a pluggable engine that yields rows of BLOCKS; without one there are no blocks.
 
-    The engine is built once a task; a picture it fails on gives no blocks and stays visible to an outer join.
+    A picture that the engine fails on, in whatever way, gives no blocks and stays visible to an outer join, where it counts as failed.
     """
 
     def run(parts):
@@ -81,7 +97,7 @@ def read_text(pictures: DataFrame, engine: Callable[[str, bytes], Iterator[dict]
             for doc, content in zip(part["document_id"], part["content"], strict=True):
                 try:
                     rows += [{"document_id": doc, **b} for b in (engine(doc, content) if engine else ())]
-                except ValueError:
+                except Exception:  # noqa: BLE001  a bad picture must not end the job
                     continue
             yield pd.DataFrame(rows, columns=names)
 

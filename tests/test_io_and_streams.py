@@ -49,12 +49,13 @@ def test_pluggable_reader_and_its_failures(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     flat = spark.createDataFrame([("d", "A", 0.91234, "M", 0.5, 50.0, 0.5, 1, 0.5, 0.71239, "success", True, 0.0, False, 0.5)], "document_id string, dealer_name string, dealer_conf double, model_name string, model_conf double, horse_power double, hp_conf double, asset_cost long, cost_conf double, overall_confidence double, status string, signature_present boolean, signature_iou double, stamp_present boolean, stamp_iou double")
     out = json.loads(sinks.public_json(flat).first()["value"])
-    assert out["dealer_name"] == {"value": "A", "confidence": 0.9123} and "iou" not in out["signature"] and out["stamp"]["iou"] == 0.5
+    assert out["dealer_name"] == {"value": "A", "confidence": 0.9123} and out["signature"]["iou"] is None and out["stamp"]["iou"] == 0.5
     sinks.write_labels(spark.createDataFrame([("i", "0 0.5"), ("i", "1 0.5")], "image string, line string"), f"file://{tmp_path}/labels")
     assert spark.read.text(f"file://{tmp_path}/labels/image=i").count() == 2
     sinks.write_report({"a": flat.select("document_id")}, f"file://{tmp_path}/report")
     assert spark.read.json(f"file://{tmp_path}/report/a").count() == 1
-    assert "✅" in sinks.markdown("t", {"m": 1}, {"x": True})
+    sinks.write_json_array(flat.select("document_id", "stamp_iou"), f"file://{tmp_path}/all.json")
+    assert json.loads((tmp_path / "all.json").read_text()) == [{"document_id": "d", "stamp_iou": 0.5}]
 
 
 def test_stream_equals_batch(spark, tmp_path):
