@@ -9,6 +9,8 @@ BRANDS = (
 RULE_BRANDS = BRANDS[:19]
 HP_RANGE, COST_RANGE = (20, 120), (50000, 5000000)
 RULE_HP_RANGE, RULE_COST_RANGE, COST_PER_HP = (10, 150), (50000, 10000000), (8000, 25000)
+HP_RANGES = {"extracted": HP_RANGE, "valid": RULE_HP_RANGE, "evaluated": (10, 200)}
+COST_RANGES = {"extracted": COST_RANGE, "valid": RULE_COST_RANGE, "evaluated": (100000, 5000000)}
 MODEL_HP = {
     "275": 35, "475": 42, "575": 50, "595": 50, "605": 51, "265": 31, "475 DI": 45, "585": 48, "595 DI": 55, "735": 40, "744": 48,
     "855": 55, "963": 63, "DI": 50, "XP": 55, "XT": 60, "MX": 65, "3630": 55,

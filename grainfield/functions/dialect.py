@@ -74,6 +74,9 @@ class Spark:
     def first_by(self, value: str, order: str) -> str:
         return f"min_by({value}, {order})"
 
+    def collect(self, x: str) -> str:
+        return f"collect_list({x})"
+
     def count_if(self, condition: str) -> str:
         return f"count_if({condition})"
 
@@ -170,6 +173,9 @@ class Duck(Spark):
     def first_by(self, value: str, order: str) -> str:
         return f"arg_min({value}, {order})"
 
+    def collect(self, x: str) -> str:
+        return f"list({x})"
+
     def count_if(self, condition: str) -> str:
         return f"cast(count(*) filter (where {condition}) as bigint)"
 

@@ -146,8 +146,11 @@ def fuzzy_dealers(d, source: str = "generated") -> dict[str, str]:
         "masters_by_length": f"select m, mw, n from (select m, mw, {d.sequence(low, high)} as ns from masters where length(mw) > 0) x {d.explode('ns', 'n')}",
         "scored": f"select s, m, {fuzzy.ratio(d, 'mw', 'sw')} as pct from distinct_values join masters_by_length on n = length(sw)",
         "nearest": f"select s, {d.first_by('m', d.struct(a='-pct', b='m'))} as m, max(pct) as pct from scored group by s having max(pct) > 75",
-        "matches": "select f.document_id, f.s, n.m, n.pct, f.seq, least(f.conf * (n.pct / 90), 0.97e0) as conf from firsts f join nearest n on f.s = n.s",
-        "matches_again": f"select document_id, m, min(seq) as seq, {d.first_by('conf', 'seq')} as conf from matches z where not exists (select 1 from firsts f where f.document_id = z.document_id and f.s = z.m) group by document_id, m",
+        "with_own": f"select *, {d.collect('s')} over (partition by document_id) as own from firsts",
+        "matches": """select f.document_id, f.s, n.m, n.pct, f.seq, least(f.conf * (n.pct / 90), 0.97e0) as conf, array_contains(f.own, n.m) as seen,
+            row_number() over (partition by f.document_id, n.m order by f.seq) as turn from with_own f join nearest n on f.s = n.s""",
+        "matched": f"""select document_id, case when again = 0 then s else m end as s, m, case when again = 0 then pct else 100e0 end as pct, case when again = 0 then conf else least(conf * (100e0 / 90), 0.97e0) end as conf,
+            seq + case when again = 0 then {FUZZY} else {FUZZY_AGAIN} end as seq from matches {d.explode(d.array('0', '1'), 'again')} where again = 0 or (not seen and turn = 1)""",
     }
 
 
@@ -158,10 +161,9 @@ def candidates(d, fields: tuple[str, ...] = bank.FIELDS, masters: bool = False)
     known = f"g.field = 'model_name' and g.seq < {2 * STRATEGY} and k.known is not null"
     none = "cast(null as double)"
     return {
-        **generated(d, fields), **fuzzy_dealers(d), "known_models": "select distinct model as known from master_models",
+        **generated(d, fields), **generated(d, ("dealer_name",), "dealers_generated"), **fuzzy_dealers(d, "dealers_generated"), "known_models": "select distinct model as known from master_models",
         "candidates": f"""select g.document_id, g.field, g.seq, g.s, g.v, case when {known} then least(g.conf * 1.08e0, 0.98e0) else g.conf end as conf, g.source from generated g left join known_models k on g.s = k.known
-            union all select document_id, 'dealer_name', seq + {FUZZY}, m, {none}, conf, 'fuzzy_match' from matches
-            union all select document_id, 'dealer_name', seq + {FUZZY_AGAIN}, m, {none}, least(conf * (100e0 / 90), 0.97e0), 'fuzzy_match' from matches_again""",
+            union all select document_id, 'dealer_name', seq, m, {none}, conf, 'fuzzy_match' from matched""",
     }
 
 

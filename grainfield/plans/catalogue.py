@@ -185,6 +185,14 @@ _scalar("scalar_hp", _priced, lambda d: f"{S.scalar_hp(d, 'text')} as hp", "docu
 _scalar("scalar_model", _priced, lambda d: f"{S.scalar_model(d, 'text')} as model", "document_id, idx", "texts")
 
 
+@plan
+def value_ranges(d):
+    """The ranges of power and cost, which differ between extraction, validation and evaluation."""
+    inside = lambda x, r: f"{x} between {r[0]} and {r[1]}"
+    columns = [("hp", n, r) for n, r in bank.HP_RANGES.items()] + [("cost", n, r) for n, r in bank.COST_RANGES.items()]
+    return query(d, X.header(d), f"select ok, hp, cost, {', '.join(f'{inside(x, r)} as {x}_{n}' for x, n, r in columns)} from header")
+
+
 @plan
 def extract_numbers_indian(d):
     return query(d, _priced(d), f"select document_id, idx, n as number from texts {d.explode(S.numbers(d, 'text'), 'n')}")
@@ -228,7 +236,7 @@ def similarity_ratio(d):
 def dealer_fuzzy_master(d):
     """Every distinct dealer candidate against the master names, best score above 75; the matched name once more."""
     steps = {**X.blocks(d), **X.masters(d), **E.prepared(d), **E.generated(d, ("dealer_name",)), **E.fuzzy_dealers(d)}
-    return query(d, steps, "select document_id, s as candidate, m as matched, pct, round(conf, 6) as conf from matches union all select document_id, m, m, 100e0, round(least(conf * (100e0 / 90), 0.97e0), 6) from matches_again")
+    return query(d, steps, "select document_id, s as candidate, m as matched, pct, round(conf, 6) as conf from matched")
 
 
 @plan
