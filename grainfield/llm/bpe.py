@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Memo, no_cycles
+from .common import Memo, no_cycles, slices
 
 NONE = np.iinfo(np.int64).max
 CHUNK = re.compile(r"\s*\S+|\s+")
@@ -50,7 +50,7 @@ class ByteBPE:
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
-        self.pieces = Recent(400_000)
+        self.pieces = Recent(160_000)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, NONE where the vocabulary has no such merge."""
@@ -222,7 +222,7 @@ class Chunks(Recent):
 class ChunkCodec:
     """Digests of texts from their chunks, each encoded once while it is remembered."""
 
-    def __init__(self, bpe: ByteBPE, limit: int = 600_000):
+    def __init__(self, bpe: ByteBPE, limit: int = 320_000):
         self.bpe, self.known = bpe, Chunks(limit)
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
@@ -270,10 +270,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
         codec = _codecs[ranks.value, pattern]
         for part in parts:
             ids = part.column(0)
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for a, b in batches_by_size(texts):
+            for a, b in slices(part.column(1), 2_000_000):
                 with no_cycles():
-                    found = codec.digests(texts[a:b])
+                    found = codec.digests([t or "" for t in part.column(1).slice(a, b - a).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), *(pa.array(col, t) for col, t in zip(zip(*found, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True))],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -290,9 +289,8 @@ def encode_ids(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def run(parts):
         bpe = _codecs[ranks.value, pattern].bpe
         for part in parts:
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            for a, b in batches_by_size(texts):
-                found = bpe.encode_chunks(texts[a:b])
+            for a, b in slices(part.column(1), 2_000_000):
+                found = bpe.encode_chunks([t or "" for t in part.column(1).slice(a, b - a).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(a, b - a), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")

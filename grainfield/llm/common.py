@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +45,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def discard_at_exit(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
@@ -63,6 +70,15 @@ def no_cycles() -> Iterator[None]:
         gc.enable()
 
 
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about `size` bytes, one text at least, so that a batch is never unpacked as a whole."""
+    import numpy as np
+
+    step = np.cumsum(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    starts = np.flatnonzero(np.r_[True, step[1:] != step[:-1]]) if len(step) else []
+    yield from zip(starts, [*starts[1:], len(texts)], strict=True)
+
+
 class Memo(dict):
     """A dict that computes missing entries and forgets everything beyond `limit`, so worker memory stays bounded."""
 

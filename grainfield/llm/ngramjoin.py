@@ -37,8 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import batches_by_size
-from .common import cut, discard_at_exit, fresh_dir, min_label_components, mix64, word_digests
+from .common import cut, discard, discard_at_exit, fresh_dir, min_label_components, mix64, slices, word_digests
 from .vectors import forest
 
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -95,9 +94,9 @@ def unpack(blob: bytes, width: int = BITS // 8) -> np.ndarray:
 def documents_in(parts, limit: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches (doc_id, text, ...) of bounded text."""
     for part in parts:
-        texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-        for a, b in batches_by_size(texts, limit):
-            yield part.slice(a, b - a), texts[a:b]
+        for a, b in slices(part.column(1), limit):
+            some = part.slice(a, b - a)
+            yield some, [t or b"" for t in some.column(1).cast(pa.binary()).to_pylist()]
 
 
 CHUNK = pa.schema([("part", pa.int64()), ("seq", pa.int32()), ("ids", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("f0", pa.list_(pa.int64())), ("f1", pa.list_(pa.int64())), ("digests", pa.binary())])
@@ -149,7 +148,9 @@ class SetTable:
         return out.filter(F.size("v0") > 0)
 
     def drop(self) -> None:
+        """Forget the table and free its files: nothing may depend on its rows any more but what is written elsewhere."""
         self.spark.sql(f"drop table if exists {self.name}")
+        discard(self.spark, self.path)
 
 
 def each_row(parts) -> Iterator[dict]:

@@ -19,7 +19,6 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, discard_at_exit, fresh_dir
+from .common import cut, discard_at_exit, fresh_dir, slices
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_SEEK_TABLE = 0x184D2A5E
@@ -188,13 +187,6 @@ class WordEncoder:
         return np.array(ids, f"<u{self.width}")
 
 
-def slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts with about `size` bytes, one text at least."""
-    step = np.cumsum(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
-    starts = np.flatnonzero(np.r_[True, step[1:] != step[:-1]]) if len(step) else []
-    yield from zip(starts, [*starts[1:], len(texts)], strict=True)
-
-
 def encoder(definition: str) -> WordEncoder:
     if definition not in _encoders:
         _encoders.clear()
@@ -222,7 +214,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, out_dir: str
         writer = None
         for part in parts:
             ids, texts = part.column(0).to_pylist(), part.column(1)
-            for a, b in slices(texts):
+            for a, b in slices(texts, 8_000_000):
                 if writer is None:
                     store.create_dir(root)
                     draft, final = f"{root}/.{no:08d}-{uuid.uuid4().hex}", f"{root}/{no:08d}.tokens"
