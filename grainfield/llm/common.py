@@ -1,4 +1,4 @@
-"""Small helpers that the operators share: tables, lineage cuts and word digests."""
+"""Small helpers that the operators share: tables, lineage cuts, bounded memories and components."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,11 +92,6 @@ class Memo(dict):
         return value
 
 
-def word_digests(limit: int = 400_000) -> Memo:
-    """64-bit digests of words given as bytes; the same in every worker."""
-    return Memo(xxhash.xxh3_64_intdigest, limit)
-
-
 def mix64(x):
     """The splitmix64 finaliser over a numpy uint64 array."""
     import numpy as np

@@ -32,12 +32,13 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, discard, discard_at_exit, fresh_dir, min_label_components, mix64, slices, word_digests
+from .common import cut, discard, discard_at_exit, fresh_dir, min_label_components, mix64, slices
 from .vectors import forest
 
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -50,19 +51,15 @@ BUCKET_SHINGLES = 4_000_000  # digests that one step of the count holds
 MOST_TEXTS = 50_000  # texts whose numbers fit beside a digest
 
 
-def shingle_sets(texts: list[bytes], width: int, memo) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct digests of all texts in turn, where each text's begin and the last one's end)."""
     if len(texts) > MOST_TEXTS:
-        parts = [shingle_sets(texts[i : i + MOST_TEXTS], width, memo) for i in range(0, len(texts), MOST_TEXTS)]
+        parts = [shingle_sets(texts[i : i + MOST_TEXTS], width) for i in range(0, len(texts), MOST_TEXTS)]
         sizes = np.concatenate([np.diff(at) for _, at in parts])
         return np.concatenate([h for h, _ in parts]), np.r_[0, np.cumsum(sizes)]
-    flat: list[int] = []
-    sizes = np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = text.lower().split()
-        flat += map(memo.__getitem__, words)
-        sizes[i] = len(words)
-    d = np.array(flat, dtype=np.uint64)
+    raw = [b"".join(map(xxhash.xxh3_64_digest, text.lower().split())) for text in texts]  # hashing a word again costs less than remembering it
+    sizes = np.array(list(map(len, raw))) // 8
+    d = np.frombuffer(b"".join(raw), ">u8").astype(np.uint64)
     ends = np.cumsum(sizes)
     doc = np.repeat(np.arange(len(texts)), sizes)
     keys = []
@@ -110,9 +107,9 @@ class SetTable:
 
     def __init__(self, docs: DataFrame, width: int):
         def run(parts):
-            memo, part = word_digests(), TaskContext.get().partitionId()
+            part = TaskContext.get().partitionId()
             for seq, (some, texts) in enumerate(documents_in(parts)):
-                h, at = shingle_sets(texts, width, memo)
+                h, at = shingle_sets(texts, width)
                 total, mixed = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64)
                 full = np.flatnonzero(np.diff(at))
                 if len(full):
@@ -380,7 +377,7 @@ def posting_lists(entries: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark, size: str = "4m") -> Iterator[None]:
+def small_batches(spark, size: str = "2m") -> Iterator[None]:
     """Arrow batches of `size` for the jobs that run inside, as their rows are large."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)

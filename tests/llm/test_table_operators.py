@@ -194,9 +194,9 @@ def test_ngram_join_equals_brute_force(spark):
 
 def test_many_short_texts_in_one_batch():
     texts = [b"t%d a b c d" % i for i in range(70_000)]
-    h, at = ngramjoin.shingle_sets(texts, 4, ngramjoin.word_digests())
+    h, at = ngramjoin.shingle_sets(texts, 4)
     assert (np.diff(at) == 2).all() and len(h) == 140_000
-    assert (h[at[69_999] :] == ngramjoin.shingle_sets(texts[-1:], 4, ngramjoin.word_digests())[0]).all()
+    assert (h[at[69_999] :] == ngramjoin.shingle_sets(texts[-1:], 4)[0]).all()
 
 
 def test_ngram_join_of_a_large_group_and_a_common_passage(spark, monkeypatch):
